@@ -138,7 +138,7 @@ def parse_iso(c) -> Column:
 
 def age_days(ts, as_of) -> Column:
     """Whole elapsed days (24-hour periods) up to ``as_of``."""
-    elapsed = F.unix_micros(_col(as_of)) - F.unix_micros(_col(ts))
+    elapsed = F.unix_micros(_col(as_of).cast("timestamp")) - F.unix_micros(_col(ts).cast("timestamp"))
     return F.floor(elapsed / F.lit(86_400_000_000)).cast("long")
 
 

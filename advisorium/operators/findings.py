@@ -88,7 +88,7 @@ def sustained_metric(metrics: DataFrame, as_of, days: int, below=None, above=Non
     end = F.lit(as_of).cast("timestamp")
     recent = metrics.filter((F.col("ts") >= end - F.expr(f"INTERVAL {days} DAYS")) & (F.col("ts") < end))
     # Days are counted back from as_of, so that a window need not start at midnight.
-    day = F.floor((F.unix_micros(end) - F.unix_micros("ts") - 1) / F.lit(86_400_000_000)).alias("days_back")
+    day = F.floor((F.unix_micros(end) - F.unix_micros(F.col("ts").cast("timestamp")) - 1) / F.lit(86_400_000_000)).alias("days_back")
     daily = recent.groupBy("resource_id", day).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("readings"))
     quiet = F.lit(True)

@@ -35,14 +35,16 @@ def promotion_outcomes(staged: DataFrame, catalog: DataFrame, below: float = AUT
     """
     eligible = F.coalesce(F.col(score) < below, F.lit(False)) & text.non_empty("service_name")
     firsts = keep_first(staged.filter(eligible).select(key, F.col(order).alias("__first")), [key], ["__first"])
-    free = firsts.join(catalog.select(key), key, "left_anti").withColumn("__free", F.lit(True))
-    marked = staged.join(free, (staged[key] == free[key]) & (staged[order] == free["__first"]), "left").drop(free[key])
+    free = firsts.join(catalog.select(key), key, "left_anti").select(
+        F.col(key).alias("__key"), "__first", F.lit(True).alias("__free"))
+    is_first = (F.col(key) == F.col("__key")) & (F.col(order) == F.col("__first"))
+    marked = staged.join(free, is_first, "left")
     promoted = eligible & F.coalesce("__free", F.lit(False))
     reason = (F.when(F.coalesce(F.col(score) >= below, F.lit(True)), "not eligible")
               .when(~text.non_empty("service_name"), "no service")
               .when(promoted, "new").otherwise("duplicate id"))
     return (marked.withColumn("outcome", F.when(promoted, "promoted").otherwise("staged"))
-            .withColumn("reason", reason).drop("__first", "__free"))
+            .withColumn("reason", reason).drop("__key", "__first", "__free"))
 
 
 def decide(staged: DataFrame, decisions: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -45,12 +45,12 @@ def conversions(responses: DataFrame, at, contributor: str) -> DataFrame:
         F.struct(F.lit(1).alias("attempt"), F.col("response").alias("text")),
         F.struct(F.lit(2).alias("attempt"), F.col("retry_response").alias("text")))
     each = responses.select("ord", F.inline(tries))
-    parsed = enrich.parse_responses(each, "text").select("ord", "attempt", "status", "recommendation.*")
-    # "status" of the entry itself is not part of a response.
+    parsed = enrich.parse_responses(each, "text").select(
+        "ord", "attempt", F.col("status").alias("conversion"), "recommendation.*")
     filled = enrich.backfill(parsed, at, contributor)
     checked = quality.with_errors(filled)
-    entry = F.struct(*[F.col(c) for c in _ENTRY if c != "status"])
-    result = F.struct(F.col("status"), (F.size("errors") == 0).alias("valid"), entry.alias("entry"))
+    entry = F.struct(*_ENTRY)
+    result = F.struct(F.col("conversion").alias("status"), (F.size("errors") == 0).alias("valid"), entry.alias("entry"))
     one = checked.select("ord", "attempt", result.alias("r")).groupBy("ord").agg(
         F.max_by("r", F.when(F.col("attempt") == 1, 1)).alias("a"),
         F.max_by("r", F.when(F.col("attempt") == 2, 1)).alias("b"))
@@ -60,7 +60,7 @@ def conversions(responses: DataFrame, at, contributor: str) -> DataFrame:
            .when(~good_first & ~good_second, "validation_failed"))
     return one.select(
         "ord", why.alias("stopped"),
-        F.when(good_first, F.col("a.entry")).when(good_second, F.col("b.entry")).alias("recommendation"),
+        F.when(good_first, F.col("a.entry")).when(first & good_second, F.col("b.entry")).alias("recommendation"),
         (first & ~F.col("a.valid")).alias("retried"))
 
 
