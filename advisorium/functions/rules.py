@@ -4,6 +4,7 @@ A rule table is plain data. Each compiler turns it into one CASE expression, so
 classified inside code generation without a join, a shuffle or a Python worker.
 """
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, functions as F
@@ -24,9 +25,31 @@ class Outcome(NamedTuple):
     text: str
 
 
+def needed_text(pattern: str):
+    """A text every match of the pattern contains, or None when that is not obvious."""
+    plain = re.sub(r"\(\?!.*?\)", "", pattern)
+    if re.search(r"[|()]", plain):
+        return None
+    plain = re.sub(r"\[[^\]]*\]|\\.", "\n", plain)
+    plain = re.sub(r".[?*{][^}\n]*}?" if "{" in plain else r".[?*]", "\n", plain)
+    runs = re.findall(r"[a-z0-9 -]+", re.sub(r"[.+^$]", "\n", plain))
+    return max(runs, key=len, default=None)
+
+
 def found_any(text: Column, patterns) -> Column:
-    """True when any pattern is found, ignoring case, with Unicode word boundaries."""
-    return text.rlike("(?iU)" + "|".join(f"(?:{p})" for p in patterns))
+    """True when any pattern is found in a lower-case text, with Unicode word boundaries.
+
+    A plain substring test comes first wherever a pattern implies one, so that most rows never
+    run the regular expression.
+    """
+    found = None
+    for pattern in patterns:
+        hit = text.rlike("(?iUd)" + pattern)
+        needed = needed_text(pattern)
+        if needed:
+            hit = text.contains(needed) & hit
+        found = hit if found is None else found | hit
+    return found
 
 
 def contains_any(text: Column, words) -> Column:

@@ -13,7 +13,7 @@ import sys
 from typing import NamedTuple
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from advisorium.functions.stop_words import ENGLISH
 from advisorium.operators.spread import spread_lookup
@@ -32,10 +32,10 @@ TIE_DECIMALS = 9
 
 
 def words_of(text, stop_words=ENGLISH) -> Column:
-    """Lower-case words of two or more characters without stop words."""
+    """Lower-case words of two or more characters, without the stop words."""
     text = F.col(text) if isinstance(text, str) else text
     found = F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}_]{2,}"), F.lit(0))
-    return F.filter(found, lambda w: ~w.isin(*stop_words))
+    return F.filter(found, lambda w: ~w.isin(*stop_words)) if stop_words else found
 
 
 def with_terms(df: DataFrame, text, stop_words=ENGLISH) -> DataFrame:
@@ -72,31 +72,31 @@ def fit(existing: DataFrame, text, position: str, max_features: int = MAX_FEATUR
     vocabulary = vocabulary.select("term", idf.alias("idf"))
     # At most max_features rows, so this side may be broadcast whatever the catalogue's size.
     weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    lengths = weighted.groupBy("position").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    postings = weighted.join(lengths, "position").select(
-        "position", "term", "idf", (F.col("w") / F.col("length")).alias("weight"))
+    # A row has at most max_features terms, so this window group is small.
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("position")))
+    postings = weighted.select("position", "term", "idf", (F.col("w") / length).alias("weight"))
     return TextIndex(postings, existing.agg(F.min(position).alias("position")))
 
 
-def score(new: DataFrame, index: TextIndex, key: str, text, stop_words=ENGLISH,
+def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=ENGLISH,
           max_broadcast: int = MAX_BROADCAST_WEIGHTS, block_weights: int = BLOCK_WEIGHTS,
           block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Best cosine similarity per new row: (key, score, position of the closest).
 
     A row without a shared term scores 0 and points at the first existing row; with nothing to
-    compare to the position is null.
+    compare to the position is null. The columns ``keep`` are carried along.
     """
-    worded = with_terms(new.select(F.col(key), F.col(text).alias("__text") if isinstance(text, str)
-                                   else text.alias("__text")), "__text", stop_words).select(key, "terms")
+    text = F.col(text) if isinstance(text, str) else text
+    shared = new.select(key, *keep, text.alias("__text"))
     # The limit bounds what can reach the driver, and tells whether everything did.
     table = index.postings.limit(max_broadcast + 1).toArrow()
     if table.num_rows <= max_broadcast:
-        best = _score_in_place(worded, table, key)
+        best = _score_in_place(shared, table, [key, *keep], stop_words)
     else:
-        best = _score_in_blocks(worded, index, key, block_weights, block_items)
+        best = _score_in_blocks(shared, index, key, keep, stop_words, block_weights, block_items)
     matched = F.coalesce(F.col("score"), F.lit(0.0)) > 0
     return best.select(
-        key, F.when(matched, F.col("score")).otherwise(F.lit(0.0)).alias("score"),
+        key, *keep, F.when(matched, F.col("score")).otherwise(F.lit(0.0)).alias("score"),
         F.when(matched, F.col("position")).otherwise(index.first.scalar()).alias("position"))
 
 
@@ -117,28 +117,35 @@ def duplicates(new: DataFrame, existing: DataFrame, key: str, text, existing_tex
         (rounded >= threshold).alias("is_duplicate"))
 
 
-def _score_in_place(worded, table, key):
-    context = worded.sparkSession.sparkContext
-    shared = context.broadcast(_pack(table))
-    id_field = worded.select(key).schema.fields[0]
+def _score_in_place(texts, table, carried, stop_words):
+    shared = texts.sparkSession.sparkContext.broadcast(_pack(table, stop_words))
+    kept = texts.select(*carried)
 
     def run(batches):
         import pyarrow as pa
 
         packed = shared.value
         for batch in batches:
-            rows, codes, weights = _vectors(batch.column(1), packed)
+            rows, codes, weights = _vectors(batch.column(batch.num_columns - 1), packed)
             best, at = _best(batch.num_rows, rows, codes, weights, packed)
-            positions = pa.array(packed["positions"][at] if len(packed["positions"]) else at, pa.int64(), mask=best <= 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best), positions], [key, "score", "position"])
+            positions = packed["positions"][at] if len(packed["positions"]) else at
+            columns = [*batch.columns[:-1], pa.array(best), pa.array(positions, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*carried, "score", "position"])
 
-    return worded.mapInArrow(run, f"`{key}` {id_field.dataType.simpleString()}, score double, position long")
+    # Stop words are dropped by the workers, whose lookup passes over every word anyway.
+    worded = texts.select(*carried, words_of("__text", ()).alias("words"))
+    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("position", T.LongType())])
+    return worded.mapInArrow(run, schema)
 
 
-def _pack(table):
-    """Posting rows as arrays sorted by term: an inverted index over dense row numbers."""
+def _pack(table, stop_words=()):
+    """Posting rows as arrays sorted by term: an inverted index over dense row numbers.
+
+    Terms are also split into words, so that texts are looked up word by word and a pair of
+    words is a pair of numbers.
+    """
     import numpy as np
-    import pyarrow.compute as pc
+    import pyarrow as pa
 
     terms = table.column("term").combine_chunks().dictionary_encode()
     code = terms.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -148,20 +155,46 @@ def _pack(table):
     order = np.lexsort((row, code))
     starts = np.zeros(len(idf) + 1, np.int64)
     np.cumsum(np.bincount(code, minlength=len(idf)), out=starts[1:])
-    return {"terms": pc.cast(terms.dictionary, "string"), "idf": idf, "positions": positions.astype(np.int64),
-            "starts": starts, "row": row[order], "weight": table.column("weight").to_numpy()[order]}
-
 
-def _vectors(term_lists, packed):
-    """Unit-length weights of the known terms of each list, as (row, term code, weight)."""
+    parts = [term.split(" ") for term in terms.dictionary.to_pylist()]
+    words = sorted({word for part in parts for word in part})
+    number = {word: n for n, word in enumerate(words)}
+    single = np.full(len(words) + 1, -1, np.int64)
+    pairs = {}
+    for n, part in enumerate(parts):
+        if len(part) == 1:
+            single[number[part[0]]] = n
+        else:
+            pairs[number[part[0]] * len(words) + number[part[1]]] = n
+    pair_keys = np.array(sorted(pairs), np.int64)
+    pair_codes = np.array([pairs[k] for k in pair_keys.tolist()], np.int64)
+    return {"terms": terms.dictionary.cast("string"), "idf": idf, "positions": positions.astype(np.int64),
+            "starts": starts, "row": row[order], "weight": table.column("weight").to_numpy()[order],
+            "words": pa.array([*words, *stop_words], pa.string()), "n_words": len(words), "single": single,
+            "pair_keys": pair_keys, "pair_codes": pair_codes}
+
+
+def _vectors(word_lists, packed):
+    """Unit-length weights of the known terms of each word list, as (row, term code, weight)."""
     import numpy as np
     import pyarrow.compute as pc
 
-    lengths = pc.fill_null(pc.list_value_length(term_lists), 0).to_numpy(zero_copy_only=False)
-    n, size = len(lengths), max(len(packed["idf"]), 1)
-    codes = pc.index_in(pc.cast(term_lists.flatten(), "string"), value_set=packed["terms"])
-    codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    rows = np.repeat(np.arange(n), lengths)
+    lengths = pc.fill_null(pc.list_value_length(word_lists), 0).to_numpy(zero_copy_only=False)
+    n, size, n_words = len(lengths), max(len(packed["idf"]), 1), packed["n_words"]
+    found = pc.index_in(pc.cast(word_lists.flatten(), "string"), value_set=packed["words"])
+    found = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    # Stop words go before neighbours pair up; an unknown word stays and keeps its place.
+    kept = found < n_words
+    words, rows = found[kept], np.repeat(np.arange(n), lengths)[kept]
+    alone = packed["single"][words]
+    together = (rows[:-1] == rows[1:]) & (words[:-1] >= 0) & (words[1:] >= 0)
+    key = words[:-1][together] * n_words + words[1:][together]
+    pair = np.full(len(key), -1, np.int64)
+    if len(packed["pair_keys"]):
+        place = np.minimum(np.searchsorted(packed["pair_keys"], key), len(packed["pair_keys"]) - 1)
+        pair = np.where(packed["pair_keys"][place] == key, packed["pair_codes"][place], -1)
+    codes = np.concatenate((alone, pair))
+    rows = np.concatenate((rows, rows[:-1][together]))
     known = codes >= 0
     cells, tf = np.unique(rows[known] * size + codes[known], return_counts=True)
     rows, codes = cells // size, cells % size
@@ -201,8 +234,9 @@ def _best(n, rows, codes, weights, packed):
     return best, at
 
 
-def _score_in_blocks(worded, index, key, block_weights, block_items):
+def _score_in_blocks(texts, index, key, keep, stop_words, block_weights, block_items):
     postings = index.postings
+    worded = with_terms(texts.select(key, "__text"), "__text", stop_words).select(key, "terms")
     sizes = postings.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     items = worded.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     n_blocks, n_slices = -(-sizes // block_weights), max(1, -(-items // block_items))
@@ -243,7 +277,7 @@ def _score_in_blocks(worded, index, key, block_weights, block_items):
     partial = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(run, schema)
     top = partial.groupBy(key).agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
     top = top.select(key, F.col("top.score").alias("score"), (-F.col("top.before")).alias("position"))
-    return worded.select(key).join(top, key, "left")
+    return texts.select(key, *keep).join(top, key, "left")
 
 
 def nearest_vectors(new: DataFrame, existing: DataFrame, key: str, vector: str, position: str,

@@ -1,6 +1,7 @@
 """Batch ingest: every item of a run ends in exactly one outcome.
 
-The text is read once, hashed and scored where it lies; all later steps move narrow rows only.
+The text is read once, hashed and scored where it lies; the narrow result is written, and all
+later steps work on that.
 Joins are on the item number or on (source, hash) pairs that were made distinct before, so
 neither a hot source nor a large group of copies meets in one task.
 """
@@ -13,6 +14,7 @@ from advisorium.operators import enrich, quality, similarity
 from advisorium.operators.ranking import first_items
 from advisorium.operators.review import AUTO_PROMOTE_BELOW, promotion_outcomes
 from advisorium.operators.spread import spread_lookup
+from advisorium.sources.scratch import written
 
 # Outcomes of an item, in the order the steps decide them.
 OUTCOMES = ("capped", "seen", "duplicate", "dry_run", "not_converted", "convert_failed", "skipped",
@@ -76,11 +78,12 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
     """
     index = similarity.fit(existing, "text", "position")
     title_body = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
-    scores = similarity.score(items, index, "ord", title_body)
-    keys = items.select("ord", "source_id", "content_hash")
+    scores = similarity.score(items, index, "ord", title_body, keep=("source_id", "content_hash"))
+    scores = written(scores, "scores")
+    keys = scores.select("ord", "source_id", "content_hash")
     admitted = first_items(keys, max_items)
     fresh = fresh_items(admitted, seen, dry_run)
-    scored = fresh.join(scores, "ord").withColumn("score", F.round("score", 4))
+    scored = fresh.join(scores.select("ord", "score", "position"), "ord").withColumn("score", F.round("score", 4))
     is_duplicate = F.col("score") >= threshold
 
     if dry_run or not convert:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from advisorium.functions import text
 from advisorium.functions.stop_words import ENGLISH
 from advisorium.operators import extract, filters, similarity
+from advisorium.sources.scratch import written
 from checks.registry import query
 from checks.views import RAW_ITEMS_SQL, existing, raw_items, table
 
@@ -122,6 +123,7 @@ def _second_pass(spark, sf):
     vectors = table(spark, sf, "embeddings")
     old = existing(spark, sf)
     scored = similarity.score(table(spark, sf, "documents"), similarity.fit(old, "text", "position"), "doc_id", "text")
+    scored = written(scored, "scores")
     below = scored.filter(F.round("score", 4) < similarity.DUPLICATE_THRESHOLD).select("doc_id")
     new_vectors = below.join(vectors.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
     old_vectors = old.select("position").join(vectors.select(F.col("vec_id").alias("position"), "embedding"), "position")
