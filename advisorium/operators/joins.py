@@ -32,7 +32,8 @@ def unseen(items: DataFrame, seen: DataFrame) -> DataFrame:
     back to the rows over dealt keys.
     """
     keys = ["source_id", "content_hash"]
-    known = items.select(*keys).distinct().join(seen.select(*keys).distinct(), keys, "left_semi")
+    # Not a semi join: that would be pushed below the distinct, to all copies of a hot pair.
+    known = items.select(*keys).distinct().join(seen.select(*keys).distinct(), keys)
     marked = spread_lookup(items, known.withColumn("__known", F.lit(True)), keys, ["ord"])
     return marked.filter(F.col("__known").isNull()).drop("__known")
 

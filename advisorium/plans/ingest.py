@@ -31,7 +31,9 @@ def fresh_items(keys: DataFrame, seen: DataFrame, dry_run: bool = False) -> Data
     """
     pair = ["source_id", "content_hash"]
     firsts = keys.groupBy(*pair).agg(F.min("ord").alias("ord"))
-    new = firsts.join(seen.select(*pair).distinct(), pair, "left_anti")
+    # Not an anti join: that would be pushed below the aggregate, to all copies of a hot pair.
+    known = seen.select(*pair).distinct().withColumn("__known", F.lit(True))
+    new = firsts.join(known, pair, "left").filter(F.col("__known").isNull()).drop("__known")
     if not dry_run:
         return new.select("ord")
     return spread_lookup(keys, new.select(*pair), pair, ["ord"], how="inner").select("ord")
@@ -98,7 +100,8 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
                                                               F.coalesce("stopped", F.lit("convert_failed"))),
             "id": F.when(~is_duplicate, F.col("recommendation.id")),
             "service_name": F.col("recommendation.service_name")})
-        known = known.drop("recommendation")
+        # Two later steps read this narrow table; without it the responses are parsed twice.
+        known = written(known.drop("recommendation"), "converted")
         below = promote_below if auto_promote else -1.0
         decided = promotion_outcomes(
             known.withColumn("__score", F.when(F.col("stopped").isNull(), F.col("score"))),

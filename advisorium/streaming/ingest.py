@@ -8,6 +8,7 @@ reads, so every item is taken exactly once.
 from pyspark.sql import DataFrame, functions as F
 
 from advisorium.operators.ranking import trailing_counters
+from advisorium.plans.ingest import fresh_items
 from advisorium.sources.files import read_or_empty
 
 _SEEN = "source_id string, content_hash string, batch_id long"
@@ -22,8 +23,7 @@ def take_new(batch: DataFrame, batch_id: int, root: str) -> None:
     """Write the items of a micro-batch whose (source, hash) was never taken before."""
     pair = ["source_id", "content_hash"]
     seen = read_or_empty(batch.sparkSession, f"{root}/seen", _SEEN).filter(F.col("batch_id") < batch_id)
-    firsts = batch.groupBy(*pair).agg(F.min("ord").alias("ord"))
-    new = firsts.join(seen.select(*pair), pair, "left_anti").select("ord")
+    new = fresh_items(batch.select(*pair, "ord"), seen)
     items = f"{root}/items/batch_id={batch_id}"
     batch.join(new, "ord", "left_semi").write.mode("overwrite").parquet(items)
     written = batch.sparkSession.read.schema(batch.schema).parquet(items)
