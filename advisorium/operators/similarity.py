@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from advisorium.functions.stop_words import ENGLISH
 from advisorium.operators.spread import spread_lookup
+from advisorium.sources.scratch import written
 
 # The workers need these helpers but may not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,7 +57,7 @@ class TextIndex(NamedTuple):
 
 
 def fit(existing: DataFrame, text, position: str, max_features: int = MAX_FEATURES, stop_words=ENGLISH) -> TextIndex:
-    """Weights of the existing texts, fitted on them alone.
+    """Weights of the existing texts, fitted on them alone and written as a table.
 
     The vocabulary is the ``max_features`` most frequent terms, ties by term. The inverse
     document frequency is ln((1 + n) / (1 + df)) + 1 and every row has unit length.
@@ -75,7 +76,8 @@ def fit(existing: DataFrame, text, position: str, max_features: int = MAX_FEATUR
     # A row has at most max_features terms, so this window group is small.
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("position")))
     postings = weighted.select("position", "term", "idf", (F.col("w") / length).alias("weight"))
-    return TextIndex(postings, existing.agg(F.min(position).alias("position")))
+    # Every score reads the weights again, and their number decides how it is done.
+    return TextIndex(written(postings, "postings"), existing.agg(F.min(position).alias("position")))
 
 
 def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=ENGLISH,
@@ -88,12 +90,12 @@ def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=
     """
     text = F.col(text) if isinstance(text, str) else text
     shared = new.select(key, *keep, text.alias("__text"))
-    # The limit bounds what can reach the driver, and tells whether everything did.
-    table = index.postings.limit(max_broadcast + 1).toArrow()
-    if table.num_rows <= max_broadcast:
-        best = _score_in_place(shared, table, [key, *keep], stop_words)
+    weights = index.postings.count()
+    if weights <= max_broadcast:
+        best = _score_in_place(shared, index.postings.toArrow(), [key, *keep], stop_words)
     else:
-        best = _score_in_blocks(shared, index, key, keep, stop_words, block_weights, block_items)
+        n_blocks = -(-weights // block_weights)
+        best = _score_in_blocks(shared, index.postings, key, keep, stop_words, n_blocks, block_items)
     matched = F.coalesce(F.col("score"), F.lit(0.0)) > 0
     return best.select(
         key, *keep, F.when(matched, F.col("score")).otherwise(F.lit(0.0)).alias("score"),
@@ -234,12 +236,9 @@ def _best(n, rows, codes, weights, packed):
     return best, at
 
 
-def _score_in_blocks(texts, index, key, keep, stop_words, block_weights, block_items):
-    postings = index.postings
+def _score_in_blocks(texts, postings, key, keep, stop_words, n_blocks, block_items):
     worded = with_terms(texts.select(key, "__text"), "__text", stop_words).select(key, "terms")
-    sizes = postings.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    items = worded.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    n_blocks, n_slices = -(-sizes // block_weights), max(1, -(-items // block_items))
+    n_slices = max(1, -(-texts.select(key).count() // block_items))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     # A block holds whole rows, so that a score is complete within one block.
     right = postings.select(
@@ -287,22 +286,20 @@ def nearest_vectors(new: DataFrame, existing: DataFrame, key: str, vector: str,
     left = new.select(F.col(key), F.col(vector).cast("array<double>").alias("v")).filter(F.size("v") > 0)
     right = existing.select(F.col(position).cast("long").alias("position"), F.col(vector).cast("array<double>").alias("v"))
     right = right.filter(F.size("v") > 0)
-    width = existing.agg(F.max(F.size(vector))).collect()[0][0] or 1
-    max_rows = max(1, max_broadcast // width)
-    table = right.limit(max_rows + 1).toArrow()
+    n_old, width = right.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    if not n_old:
+        return left.select(key, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("position"))
     schema = f"`{key}` {new.schema[key].dataType.simpleString()}, score double, position long"
-    if table.num_rows <= max_rows:
-        shared = new.sparkSession.sparkContext.broadcast(_pack_vectors(table))
+    if n_old * width <= max_broadcast:
+        shared = new.sparkSession.sparkContext.broadcast(_pack_vectors(right.toArrow()))
 
         def run(batches):
             for batch in batches:
                 yield from _best_vectors(batch, key, shared.value).to_batches()
 
-        return left.mapInArrow(run, schema) if table.num_rows else left.select(
-            key, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("position"))
-    counts = [df.agg(F.count(F.lit(1))).collect()[0][0] for df in (left, right)]
-    n_slices = max(1, -(-counts[0] // block_items))
-    n_blocks = -(-counts[1] // max(1, block_numbers // width))
+        return left.mapInArrow(run, schema)
+    n_slices = max(1, -(-left.count() // block_items))
+    n_blocks = -(-n_old // max(1, block_numbers // width))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = left.select(key, "v", F.pmod(F.xxhash64(key), F.lit(n_slices)).cast("int").alias("slice"), every(n_blocks).alias("block"))
     right = right.select("position", "v", F.pmod(F.xxhash64("position"), F.lit(n_blocks)).cast("int").alias("block"),

@@ -71,16 +71,16 @@ def conversions(responses: DataFrame, at, contributor: str) -> DataFrame:
 def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataFrame, catalog: DataFrame, at,
         contributor: str = "ingest", max_items=None, threshold: float = similarity.DUPLICATE_THRESHOLD,
         dry_run: bool = False, convert: bool = True, auto_promote: bool = True,
-        promote_below: float = AUTO_PROMOTE_BELOW) -> DataFrame:
+        promote_below: float = AUTO_PROMOTE_BELOW, scoring=None) -> DataFrame:
     """Outcome of every item.
 
     ``items``: source_id, ord (unique), title, body, content_hash. ``seen``: source_id,
     content_hash. ``existing``: position, scenario, text. ``responses``: ord, response,
-    retry_response. ``catalog``: id.
+    retry_response. ``catalog``: id. ``scoring``: options of ``similarity.score``.
     """
     index = similarity.fit(existing, "text", "position")
     title_body = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
-    scores = similarity.score(items, index, "ord", title_body, keep=("source_id", "content_hash"))
+    scores = similarity.score(items, index, "ord", title_body, keep=("source_id", "content_hash"), **(scoring or {}))
     scores = written(scores, "scores")
     keys = scores.select("ord", "source_id", "content_hash")
     admitted = first_items(keys, max_items)

@@ -1,5 +1,7 @@
 """Validation, classification and filling queries."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from advisorium.functions import rule_tables
@@ -89,7 +91,36 @@ on_recs("e1_classify", _CLASSES + "SELECT id, classified FROM k",
 on_recs("u6_service_move", _CLASSES + """SELECT id, CASE WHEN service_name = 'en' AND classified IS NOT NULL THEN classified ELSE service_name END AS service_name,
  service_name = 'en' AND classified IS NOT NULL AS moved FROM k""",
         lambda df: enrich.reclassify(df, RULES, KEEP, "en").select("id", "service_name", "moved"))
-query("e1_standard_rules")(lambda spark, sf: enrich.classified_service(view(spark, sf, "recs")).select("id", "classified"))
+
+
+def _sql_pattern(pattern):
+    """A rule pattern for an engine without look-ahead and with ASCII word boundaries."""
+    before, after, between = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)", r"[^\p{L}\p{N}_\n]"
+    pattern = pattern.replace(r"\b(?!\s*bucket)", r"\b")
+    if pattern.startswith(r"\b"):
+        pattern = before + pattern[2:]
+    if pattern.endswith(r"\b"):
+        pattern = pattern[:-2] + after
+    return pattern.replace(r"\b.*", between + ".*")
+
+
+def _sql_found(patterns):
+    """Condition that any pattern is found; a look-ahead for a later word looks at line ends."""
+    tests = []
+    for pattern in patterns:
+        ahead = re.fullmatch(r"(.*)\(\?!\.\*(\w+)\)", pattern)
+        if ahead:
+            word = _sql_pattern(ahead[1])
+            tests.append(f"len(list_filter(string_split(txt, chr(10)), lambda l: regexp_matches(regexp_replace(l, '^.*{ahead[2]}', 'h'), '{word}'))) > 0")
+        else:
+            tests.append(f"regexp_matches(txt, '{_sql_pattern(pattern)}')")
+    return "(" + " OR ".join(tests) + ")"
+
+
+on_recs("e1_standard_rules", f", c AS (SELECT id, {_TEXT} AS txt FROM recs) SELECT id, CASE WHEN "
+        + _sql_found(rule_tables.GENERAL_PATTERNS) + " THEN NULL " + " ".join(
+            f"WHEN {_sql_found(r.patterns)} THEN '{r.target}'" for r in rule_tables.SERVICE_RULES) + " END AS classified FROM c",
+        lambda df: enrich.classified_service(df).select("id", "classified"))
 
 # Filling ----------------------------------------------------------------------------------------
 

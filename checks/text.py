@@ -64,7 +64,18 @@ s AS (SELECT page_id, url, position, lower(left(piece, 2)) AS header_level, {_te
  {_text_sql("regexp_extract(piece, '(?is)^h[1-4]' || chr(2) || '.*?</h[1-4]\\s*>(.*)$', 1)")} AS body FROM e)
 SELECT page_id, url, CAST(position AS INT) AS position, header_level, title, left(body, 4000) AS body FROM s WHERE length(title) >= 5 AND length(body) >= 50 AND header_level = 'h1'"""
 query("x4_header_sections", _SECTIONS)(lambda spark, sf: extract.header_sections(table(spark, sf, "pages"), "page_id", levels=(1,)))
-query("x4_selected_items")(lambda spark, sf: extract.selected_items(table(spark, sf, "pages"), "page_id", "article", "h1", "p"))
+
+
+def _glued(markup):
+    """Pieces of text between tags, each stripped, put together."""
+    visible = f"regexp_replace({markup}, '{_HIDDEN}', '<x>', 'g')"
+    return "trim(" + _ENTITIES.format(f"regexp_replace({visible}, '\\s*<[^>]+>\\s*', '', 'g')") + ")"
+
+
+query("x4_selected_items", f"""WITH a AS (SELECT page_id, url, regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1) AS part FROM pages),
+s AS (SELECT page_id, url, {_glued("regexp_extract(part, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS title, {_glued('part')} AS body FROM a)
+SELECT page_id, url, 0 AS position, title, body FROM s WHERE length(title) >= 1 AND length(body) >= 20""")(
+    lambda spark, sf: extract.selected_items(table(spark, sf, "pages"), "page_id", "article", "h1"))
 
 # Similarity -------------------------------------------------------------------------------------
 

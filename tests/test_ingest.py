@@ -108,11 +108,9 @@ def test_only_finished_items_are_remembered(inputs):
     assert every.count() == 11
 
 
-def test_large_catalogue_gives_the_same_outcomes(inputs, monkeypatch):
-    from advisorium.operators import similarity
-
-    monkeypatch.setattr(similarity.score, "__defaults__", ((), similarity.ENGLISH, 1, 3, 2))
-    assert {r.ord: r.outcome for r in outcomes(inputs).collect()} == EXPECTED
+def test_large_catalogue_gives_the_same_outcomes(inputs):
+    blocks = {"max_broadcast": 1, "block_weights": 3, "block_items": 2}
+    assert {r.ord: r.outcome for r in outcomes(inputs, scoring=blocks).collect()} == EXPECTED
 
 
 def test_items_from_whole_texts(spark):
