@@ -85,8 +85,10 @@ def http_links(*columns) -> Column:
 
 def content_hash(title, body) -> Column:
     """SHA-256 of the normalised title and body."""
-    joined = F.concat(F.lower(strip(title)), F.lit("|"), F.lower(strip(body)))
-    return F.sha2(joined, 256)
+    part = lambda c: F.lower(strip(F.coalesce(_col(c), F.lit(""))))
+    digest = F.sha2(F.concat(part(title), F.lit("|"), part(body)), 256)
+    # Never null, so that a join on it adds no filter that hashes the text a second time.
+    return F.coalesce(digest, F.lit(""))
 
 
 def stable_id(*columns) -> Column:

@@ -79,17 +79,18 @@ def header_sections(pages: DataFrame, key: str, levels=(2, 3, 4), decode=text.re
     # A mark no page contains starts every header, so that one split yields the sections.
     mark = "\x01"
     marked = F.regexp_replace(visible, "(?i)<(h[1-4])(?=[\\s>])[^>]*>", f"{mark}$1{mark}")
-    pieces = F.slice(F.split(marked, f"{mark}(?=[hH][1-4]{mark})"), F.lit(2), F.lit(2147483647))
-    each = pages.select(key, "url", F.posexplode(pieces).alias("position", "piece"))
-    close = "(?is)^h([1-4])\x01(.*?)</h\\1\\s*>(.*)$"
-    parts = each.select(
-        key, "url", "position",
-        F.regexp_extract("piece", close, 1).alias("level"),
-        text.strip_html(F.regexp_extract("piece", close, 2), decode).alias("title"),
-        text.strip_html(F.regexp_extract("piece", close, 3), decode).alias("body"))
-    kept = parts.filter(F.col("level").isin(*[str(n) for n in levels]) & passes_content_gate("title", "body", "section"))
-    return kept.select(key, "url", "position", F.concat(F.lit("h"), "level").alias("header_level"),
-                       "title", F.left("body", F.lit(BODY_CHARS)).alias("body"))
+    pieces = F.filter(F.split(marked, f"{mark}(?=[hH][1-4]{mark})"), lambda piece, n: n > 0)
+    halves = F.transform(pieces, lambda piece: F.split(piece, "(?i)</h[1-4]\\s*>", 2))
+    sections = F.transform(halves, lambda half, n: F.struct(
+        n.alias("position"),
+        F.lower(F.left(half[0], F.lit(2))).alias("header_level"),
+        F.when(F.size(half) == 2, text.strip_html(F.substring(half[0], F.lit(4), F.length(half[0])), decode)).alias("title"),
+        F.when(F.size(half) == 2, text.strip_html(half[1], decode)).alias("body")))
+    # Gated inside the row: a filter on rows would be pushed down and strip the texts again.
+    wanted = [f"h{n}" for n in levels]
+    kept = F.filter(sections, lambda s: s["header_level"].isin(*wanted)
+                    & F.coalesce(passes_content_gate(s["title"], s["body"], "section"), F.lit(False)))
+    return pages.select(key, "url", F.inline(kept)).withColumn("body", F.left("body", F.lit(BODY_CHARS)))
 
 
 def selected_items(pages: DataFrame, key: str, item: str, title: str = "h2, h3", body: str = "") -> DataFrame:
@@ -203,15 +204,17 @@ def feed_items(entries: DataFrame, source_id: Column, source_name: Column, categ
                decode=text.replace_known_entities) -> DataFrame:
     """Feed entries as raw items; entries without a title or with a short body are skipped."""
     body = text.strip_html(F.coalesce(F.nullif("content", F.lit("")), F.nullif("description", F.lit(""))), decode)
-    prepared = entries.withColumns({"title": text.strip(F.coalesce("title", F.lit(""))), "body": body})
     tags = F.array_join(F.coalesce("category", F.array().cast("array<string>")), ", ")
-    return prepared.filter(passes_content_gate("title", "body", "feed")).select(
-        source_id.alias("source_id"), source_name.alias("source_name"), "title", "body",
-        F.coalesce("link", F.lit("")).alias("url"),
+    made = F.array(F.struct(
+        text.strip(F.coalesce("title", F.lit(""))).alias("title"), body.alias("body"), F.coalesce("link", F.lit("")).alias("url"),
         text.iso_timestamp(text.feed_date("pubDate")).alias("published_at"),
-        text.content_hash("title", "body").alias("content_hash"),
-        categories.alias("categories"),
-        F.create_map(F.lit("tags"), tags, F.lit("author"), F.coalesce("author", F.lit(""))).alias("raw_metadata"))
+        F.create_map(F.lit("tags"), tags, F.lit("author"), F.coalesce("author", F.lit(""))).alias("raw_metadata")))
+    # Gated inside the row: a filter on rows would be pushed down and strip the texts again.
+    kept = entries.select(
+        source_id.alias("source_id"), source_name.alias("source_name"), categories.alias("categories"),
+        F.inline(F.filter(made, lambda i: passes_content_gate(i["title"], i["body"], "feed"))))
+    return kept.select("source_id", "source_name", "title", "body", "url", "published_at",
+                       text.content_hash("title", "body").alias("content_hash"), "categories", "raw_metadata")
 
 
 def rule_file_items(files: DataFrame) -> DataFrame:
