@@ -81,6 +81,18 @@ FEED_ITEM = _struct(
     ("title", _S), ("link", _S), ("description", _S), ("content", _S), ("pubDate", _S),
     ("author", _S), ("category", _STRINGS),
 )
+# The same item as the two kinds of feed spell it.
+RSS_ITEM = _struct(
+    ("title", _S), ("link", _S), ("description", _S), ("encoded", _S), ("pubDate", _S),
+    ("author", _S), ("creator", _S), ("category", _STRINGS),
+)
+ATOM_ENTRY = _struct(
+    ("title", _struct(("_VALUE", _S), ("_type", _S))),
+    ("link", T.ArrayType(_struct(("_href", _S), ("_rel", _S)))),
+    ("summary", _struct(("_VALUE", _S), ("_type", _S))), ("content", _struct(("_VALUE", _S), ("_type", _S))),
+    ("published", _S), ("updated", _S), ("author", _struct(("name", _S))),
+    ("category", T.ArrayType(_struct(("_term", _S)))),
+)
 
 FINDING = _struct(
     ("rule_id", _S), ("service", _S), ("resource_type", _S), ("resource_id", _S),

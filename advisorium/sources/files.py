@@ -71,10 +71,21 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_feeds(spark: SparkSession, path: str, max_items: int = 50) -> DataFrame:
-    """Entries of landed feed files, the first ``max_items`` of each feed."""
-    rows = spark.read.format("xml").option("rowTag", "item").schema(model.FEED_ITEM).load(path)
-    placed = rows.withColumns({"feed": F.col("_metadata.file_path"), "ord": F.monotonically_increasing_id()})
-    return first_n_per_group(placed, ["feed"], ["ord"], max_items, ["ord"])
+    """Entries of landed RSS and Atom files, the first ``max_items`` of each feed."""
+    def rows(tag, schema):
+        reader = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", True).schema(schema)
+        return reader.load(path).withColumns({"feed": F.col("_metadata.file_path"), "ord": F.monotonically_increasing_id()})
+
+    rss = rows("item", model.RSS_ITEM).select(
+        "feed", "ord", "title", "link", "description", F.col("encoded").alias("content"), "pubDate",
+        F.coalesce("author", "creator").alias("author"), "category")
+    links = F.filter("link", lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
+    atom = rows("entry", model.ATOM_ENTRY).select(
+        "feed", "ord", F.col("title._VALUE").alias("title"), F.try_element_at(links, F.lit(1))["_href"].alias("link"),
+        F.col("summary._VALUE").alias("description"), F.col("content._VALUE").alias("content"),
+        F.coalesce("published", "updated").alias("pubDate"), F.col("author.name").alias("author"),
+        F.col("category._term").alias("category"))
+    return first_n_per_group(rss.unionByName(atom), ["feed"], ["ord"], max_items, ["ord"])
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -244,12 +244,12 @@ simple("o7_distinct_services", "SELECT DISTINCT service_name FROM recs", ranking
 simple("c1_clean_text", """SELECT id, CASE WHEN upper(trim(alert_criteria, chr(9)||chr(10)||chr(13)||' ')) NOT IN ('', 'TK')
  THEN trim(alert_criteria, chr(9)||chr(10)||chr(13)||' ') END AS cleaned FROM recs""",
        lambda df: df.select("id", text.clean_text("alert_criteria").alias("cleaned")))
-simple("c2_safe_int", """SELECT id, CASE WHEN regexp_full_match(trim(left(scenario, 2)), '[0-9]+') THEN CAST(trim(left(scenario, 2)) AS INT) END AS from_text,
- CAST(id AS INT) AS from_id FROM recs""",
-       lambda df: df.select("id", text.safe_int(F.left("scenario", F.lit(2))).alias("from_text"), text.safe_int("id").alias("from_id")))
-simple("c3_storage_key", """SELECT id, CASE WHEN scenario = '' THEN 'unknown' ELSE lower(regexp_replace(translate(left(scenario, 60), '/\\ ', '---'),
+simple("c2_safe_int", "SELECT id, build_priority AS padded, CAST(NULL AS INT) AS decimal, CAST(id AS INT) AS plain FROM recs",
+       lambda df: df.select("id", text.safe_int(F.concat(F.lit(" "), F.col("build_priority").cast("string"), F.lit("\t"))).alias("padded"),
+                            text.safe_int(F.concat("id", F.lit(".5"))).alias("decimal"), text.safe_int("id").alias("plain")))
+simple("c3_storage_key", """SELECT id, CASE WHEN scenario = '' THEN 'unknown' ELSE lower(regexp_replace(translate(scenario, '/\\ ', '---'),
  '[^\\p{L}\\p{N}_.-]', '', 'g')) END AS key FROM recs""",
-       lambda df: df.select("id", text.storage_key(F.left("scenario", F.lit(60))).alias("key")))
+       lambda df: df.select("id", text.storage_key("scenario").alias("key")))
 simple("c4_normalise_risk", """SELECT id, CASE WHEN coalesce(category, '') = '' THEN 'operations'
  ELSE array_to_string(list_transform(string_split(lower(trim(category || ' , ' || risk_detail)), ','), lambda x: trim(x)), ', ') END AS risk FROM recs""",
        lambda df: df.select("id", text.normalise_risk(F.concat("category", F.lit(" , "), "risk_detail")).alias("risk")))

@@ -6,6 +6,7 @@ from advisorium.functions import text
 from advisorium.operators import health, joins, ranking, review, summaries
 from advisorium.plans import ingest
 from advisorium.sources import writers
+from advisorium.sources.scratch import written
 from checks.registry import query
 from checks.text import tfidf_sql
 from checks.views import RAW_ITEMS_SQL, existing, raw_items, seen, view, with_views
@@ -152,7 +153,7 @@ query("h6_run_quality", N + _H6 + _H6_ALL)(lambda spark, sf: health.run_quality(
 
 
 def _report(spark, sf):
-    counters = _counters(spark, sf)
+    counters = written(_counters(spark, sf), "counters")  # two checks read it
     return health.report(
         sources=health.zero_yield(counters), errors=health.fetch_errors(counters), stale=_stale(spark, sf),
         staging=health.staging_overflow(view(spark, sf, "staged_v")), quality=health.run_quality(view(spark, sf, "runs")))

@@ -27,9 +27,9 @@ query("x7_prompt_text", I + """SELECT ord, 'Source: ' || source_id || chr(10) ||
 
 query("s7_page_scan", "SELECT page_id, url, length(html) AS n FROM pages")(
     lambda spark, sf: table(spark, sf, "pages").select("page_id", "url", F.length("html").cast("long").alias("n")))
-query("s8_payload_guard", "SELECT page_id, octet_length(encode(left(html, CAST(page_id % 200 AS INT)))) < 100 AS too_small FROM pages")(
+query("s8_payload_guard", "SELECT page_id, octet_length(encode(html)) < 100 AS page_too_small, octet_length(encode(url)) < 100 AS url_too_small FROM pages")(
     lambda spark, sf: table(spark, sf, "pages").select(
-        "page_id", extract.payload_too_small(F.left("html", (F.col("page_id") % 200).cast("int"))).alias("too_small")))
+        "page_id", extract.payload_too_small("html").alias("page_too_small"), extract.payload_too_small("url").alias("url_too_small")))
 
 _ENTITIES = """replace(replace(replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
  '&nbsp;', chr(160)), '&#39;', ''''), '&amp;', '&')"""

@@ -14,7 +14,7 @@ SELECT CAST(d.doc_id AS VARCHAR(20)) AS id, d.lang AS service_name,
        CASE WHEN d.doc_id % 3 = 1 THEN '  ' WHEN d.doc_id % 3 = 2 THEN substring(d.text, 1301, 200)
          END AS alert_criteria,
        substring(d.text, 201, 300) AS recommendation_action,
-       substring(d.text, 501, 800) AS recommendation_description_detailed,
+       substring(d.text, 501) AS recommendation_description_detailed,
        coalesce(nullif(concat_ws(', ',
          CASE WHEN l.quality = 0 THEN 'cost' END,
          CASE WHEN l.toxic = 1 THEN 'security' END,
@@ -80,8 +80,8 @@ SELECT concat(CAST(user_id AS VARCHAR(20)), '-', event_type) AS source_id, max(t
 FROM @events@ GROUP BY user_id, event_type
 """,
     "source_config": """
-SELECT concat(CAST(u.user_id AS VARCHAR(20)), '-', t.event_type) AS source_id, true AS enabled
-FROM (SELECT DISTINCT user_id FROM @events@) u, (SELECT DISTINCT event_type FROM @events@) t
+SELECT concat(CAST(user_id AS VARCHAR(20)), '-', event_type) AS source_id, true AS enabled
+FROM (SELECT user_id, @each_event_type@ AS event_type FROM (SELECT DISTINCT user_id FROM @events@) u) t
 UNION ALL
 SELECT concat('-', CAST(user_id AS VARCHAR(20))) AS source_id, CAST(NULL AS BOOLEAN) AS enabled
 FROM (SELECT DISTINCT user_id FROM @events@) v
@@ -89,7 +89,7 @@ FROM (SELECT DISTINCT user_id FROM @events@) v
     "staged_v": """
 SELECT id, service_name, scenario, risk_detail, service_name AS source_id,
        round((CAST(id AS BIGINT) % 100) / 100.0, 4) AS dedup_score, recommendation_action AS closest_existing
-FROM (@recs@) recs WHERE CAST(id AS BIGINT) % 3 = 0
+FROM (@recs@) recs
 """,
     # the catalogue the staged records may collide with
     "catalog_ids": """
@@ -122,8 +122,11 @@ SELECT user_id AS resource_id, ts, value FROM @events@
 }
 
 
-def _fill(name, table):
-    text = TEXTS[name]
+_EVENT_TYPES = "'signup', 'error', 'click', 'view', 'purchase'"
+
+
+def _fill(name, table, each="unnest([{}])"):
+    text = TEXTS[name].replace("@each_event_type@", each.format(_EVENT_TYPES))
     while "@" in text:
         start = text.index("@")
         end = text.index("@", start + 1)
@@ -142,7 +145,7 @@ def table(spark, sf_dir, name):
 
 
 def view(spark, sf_dir, name):
-    return spark.sql(_fill(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    return spark.sql(_fill(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`", "explode(array({}))"))
 
 
 def entries(spark, sf_dir):
@@ -191,13 +194,14 @@ FROM (SELECT lang AS source_id, doc_id AS ord,
   CASE WHEN instr(text, chr(10)) > 0 THEN left(text, instr(text, chr(10)) - 1) ELSE text END AS title,
   CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS body
   FROM documents) t),
-seen AS (SELECT DISTINCT source_id, content_hash FROM raw_items WHERE ord % 10 = 0)
+seen AS (SELECT DISTINCT source_id, content_hash FROM raw_items WHERE ord IN (SELECT doc_id FROM labels))
 """
 
 
 def seen(spark, sf_dir):
-    """State of earlier runs: the hashes of every tenth document."""
-    items = raw_items(spark, sf_dir).filter(F.col("ord") % 10 == 0)
+    """State of earlier runs: the hashes of all labelled documents."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"))
+    items = raw_items(spark, sf_dir).join(labelled, "ord", "left_semi")
     return items.select("source_id", "content_hash").distinct()
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from advisorium import model
-from advisorium.operators import filters, project, quality
+from advisorium.operators import extract, filters, project, quality
 from advisorium.sources import files, writers
 from tests.conftest import recommendation
 
@@ -91,6 +91,25 @@ def test_feed_scan_and_cap(spark, tmp_path):
     assert rows[0].category == ["One", "Two"]
 
 
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>F</title>
+<entry><title type="html">An &lt;b&gt;entry&lt;/b&gt;</title><link rel="self" href="https://e.org/self"/><link href="https://e.org/1"/>
+<summary>short</summary><content type="html">&lt;p&gt;{body}&lt;/p&gt;</content><updated>2025-01-15T10:00:00Z</updated>
+<author><name>Ann</name></author><category term="x"/><category term="y"/></entry></feed>"""
+FULL = ("<rss xmlns:content='c' xmlns:dc='d'><channel><item><title>T</title><link>https://e.org/2</link><description>d</description>"
+        "<content:encoded><![CDATA[<p>{body}</p>]]></content:encoded><dc:creator>Bob</dc:creator></item></channel></rss>")
+
+
+def test_both_kinds_of_feed(spark, tmp_path):
+    (tmp_path / "atom.xml").write_text(ATOM.format(body="a" * 60))
+    (tmp_path / "full.xml").write_text(FULL.format(body="b" * 60))
+    rows = files.read_feeds(spark, str(tmp_path))
+    items = {i.title: i for i in extract.feed_items(rows, F.col("feed"), F.lit("S"), F.array(F.lit("cost"))).collect()}
+    atom, full = items["An <b>entry</b>"], items["T"]
+    assert (atom.url, atom.body, atom.published_at) == ("https://e.org/1", "a" * 60, "2025-01-15T10:00:00Z")
+    assert atom.raw_metadata == {"tags": "x, y", "author": "Ann"}
+    assert (full.url, full.body, full.raw_metadata["author"]) == ("https://e.org/2", "b" * 60, "Bob")
+
+
 def test_rule_file_scan(spark, tmp_path):
     root = tmp_path / "repo"
     (root / "rules" / "deep").mkdir(parents=True)
