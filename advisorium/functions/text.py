@@ -99,12 +99,13 @@ def stable_id(*columns) -> Column:
 
 
 def replace_known_entities(c) -> Column:
-    """Decode the markup entities that occur in prose pages; the ampersand goes last."""
+    """Decode the markup entities that occur in prose pages, also where the semicolon is missing
+    before a character that cannot continue a name. The ampersand goes last."""
     value = _col(c)
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'),
-                         ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&#39;", "'"),
-                         ("&amp;", "&")):
-        value = F.replace(value, F.lit(entity), F.lit(char))
+    # Entity names and their characters.
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"),
+                       ("nbsp", "\u00a0"), ("#39", "'"), ("amp", "&")):
+        value = F.regexp_replace(value, f"&{name}(?:;|(?![A-Za-z0-9;]))", char)
     return value
 
 

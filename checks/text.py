@@ -31,14 +31,22 @@ query("s8_payload_guard", "SELECT page_id, octet_length(encode(html)) < 100 AS p
     lambda spark, sf: table(spark, sf, "pages").select(
         "page_id", extract.payload_too_small("html").alias("page_too_small"), extract.payload_too_small("url").alias("url_too_small")))
 
-_ENTITIES = """replace(replace(replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
- '&nbsp;', chr(160)), '&#39;', ''''), '&amp;', '&')"""
+
+
+def _decoded(value):
+    """Known entities decoded, with or without their semicolon."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", None), ("#39", "''"), ("amp", "&")):
+        after = "chr(160) || '\\2'" if char is None else f"'{char}\\2'"
+        value = f"regexp_replace({value}, '&{name}(;|([^A-Za-z0-9;])|$)', {after}, 'g')"
+    return value
+
+
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 def _text_sql(markup):
     untagged = f"regexp_replace({markup}, '<[^>]+>', ' ', 'g')"
-    return f"trim(regexp_replace({_ENTITIES.format(untagged)}, '{_SPACE}', ' ', 'g'))"
+    return f"trim(regexp_replace({_decoded(untagged)}, '{_SPACE}', ' ', 'g'))"
 
 
 query("c8_strip_html", f"SELECT page_id, {_text_sql('html')} AS text FROM pages")(
@@ -52,7 +60,7 @@ u AS (SELECT page_id, url, i, trim(hrefs[i]) AS h FROM (SELECT page_id, url, hre
 r AS (SELECT page_id, url, i, CASE WHEN h = '' THEN url WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h
  WHEN h LIKE '//%' THEN regexp_extract(url, '^([A-Za-z]+:)', 1) || h WHEN h LIKE '#%' THEN regexp_replace(url, '#.*$', '') || h
  WHEN h LIKE '/%' THEN regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || h END AS link FROM u),
-d AS (SELECT page_id, link, min(i) AS i FROM (SELECT page_id, i, {_ENTITIES.format('link')} AS link, url FROM r) t WHERE link <> url AND regexp_matches(link, 'example') GROUP BY 1, 2)
+d AS (SELECT page_id, link, min(i) AS i FROM (SELECT page_id, i, {_decoded('link')} AS link, url FROM r) t WHERE link <> url AND regexp_matches(link, 'example') GROUP BY 1, 2)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS position, link FROM d QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY i) <= 20""")(
     lambda spark, sf: extract.crawl_links(table(spark, sf, "pages"), "page_id", "example"))
 
@@ -67,9 +75,9 @@ query("x4_header_sections", _SECTIONS)(lambda spark, sf: extract.header_sections
 
 
 def _glued(markup):
-    """Pieces of text between tags, each stripped, put together."""
-    visible = f"regexp_replace({markup}, '{_HIDDEN}', '<x>', 'g')"
-    return "trim(" + _ENTITIES.format(f"regexp_replace({visible}, '\\s*<[^>]+>\\s*', '', 'g')") + ")"
+    """Pieces of text between tags, each stripped, put together. No page holds an encoded < or >."""
+    visible = _decoded(f"regexp_replace({markup}, '{_HIDDEN}', '<x>', 'g')")
+    return f"trim(regexp_replace({visible}, '\\s*<[^>]+>\\s*', '', 'g'))"
 
 
 query("x4_selected_items", f"""WITH a AS (SELECT page_id, url, regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1) AS part FROM pages),

@@ -44,6 +44,7 @@ def test_normalising(spark):
 def test_markup_and_dates(spark):
     strip = lambda v: one(spark, text.strip_html(lit(v)))
     assert strip("<p>a&amp;b</p>\n <b>&quot;c&quot;</b>&nbsp;&amp;copy;") == 'a&b "c" &copy;'
+    assert strip("<h1>a &amp</h1>&copy&amp;lt &ampx &amp;amp; &quot&quot") == 'a & ©&lt &ampx &amp; ""'
     assert strip(None) == ""
     assert one(spark, text.strip_html(lit("&eacute;&#x41;&hellip;"), text.html_unescape())) == "éA…"
     date = lambda v: one(spark, text.iso_timestamp(text.feed_date(lit(v))))
