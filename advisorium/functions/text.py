@@ -101,12 +101,17 @@ def stable_id(*columns) -> Column:
 def replace_known_entities(c) -> Column:
     """Decode the markup entities that occur in prose pages, also where the semicolon is missing
     before a character that cannot continue a name. The ampersand goes last."""
-    value = _col(c)
     # Entity names and their characters.
-    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"),
-                       ("nbsp", "\u00a0"), ("#39", "'"), ("amp", "&")):
-        value = F.regexp_replace(value, f"&{name}(?:;|(?![A-Za-z0-9;]))", char)
-    return value
+    known = (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("#39", "'"))
+    open_end = "(?![A-Za-z0-9;])"
+    value = _col(c)
+    for name, char in known:
+        value = F.replace(value, F.lit(f"&{name};"), F.lit(char))
+    repaired = value
+    for name, char in known:
+        repaired = F.regexp_replace(repaired, f"&{name}{open_end}", char)
+    broken = value.rlike(f"&(?:{'|'.join(name for name, _ in known)}){open_end}")
+    return F.regexp_replace(F.when(broken, repaired).otherwise(value), f"&amp(?:;|{open_end})", "&")
 
 
 def strip_html(c, decode=replace_known_entities) -> Column:
