@@ -1,21 +1,14 @@
 """Intermediate tables: computed once, written to shared storage, safe from lost executors."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
 
 def scratch_root(spark) -> str:
-    """The checkpoint folder of the session; a local one only where a local session names none."""
+    """The checkpoint folder of the session; where it names none, a folder in its warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="advisorium-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
