@@ -2,7 +2,7 @@
 
 import uuid
 
-from advisorium.llm import exact_dedup, main_text, shards, warc
+from advisorium.llm import exact_dedup, main_text, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -62,3 +62,28 @@ def op9_exact_dedup(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.assign(documents, carry=["doc_id"]).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    rows = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return rows.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_simhash")
+def op8_simhash(spark, sf_dir):
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return rows.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op10_top_k", """
+WITH numbered AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+                  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+           FROM numbered q, numbered d WHERE q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op10_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
