@@ -2,7 +2,9 @@
 
 import uuid
 
-from advisorium.llm import exact_dedup, main_text, shards, simhash, topk, toxicity, warc
+from pyspark.sql import functions as F
+
+from advisorium.llm import bpe, exact_dedup, main_text, packing, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -87,3 +89,24 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op10_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def byte_bpe():
+    """Where the vocabulary lies; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_packing")
+def op2_packing(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(documents, byte_bpe(), carry=["doc_id"], with_ids=False).drop("ids")
+
+
+@query("op6_bpe")
+def op6_bpe(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.encode_texts(documents, byte_bpe(), carry=["doc_id"])
+    return rows.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
