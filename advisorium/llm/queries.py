@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from advisorium.llm import bpe, exact_dedup, main_text, packing, shards, simhash, topk, toxicity, warc
+from advisorium.llm import bpe, exact_dedup, licenses, main_text, packing, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -110,3 +110,9 @@ def op6_bpe(spark, sf_dir):
     rows = bpe.encode_texts(documents, byte_bpe(), carry=["doc_id"])
     return rows.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op4_licenses")
+def op4_licenses(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(documents, carry=["doc_id"]).select("doc_id", "license", "containment", "position", "windows")
