@@ -100,10 +100,27 @@ def numbers_of(plane_bytes):
     return np.ascontiguousarray(np.frombuffer(plane_bytes, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
 
 
+def first_seen(codes):
+    """Codes that count up by first appearance, with 0 where a code is new and one more than the code elsewhere."""
+    import numpy as np
+
+    known = np.maximum.accumulate(np.concatenate([[-1], codes.astype(np.int64)]))[:-1]
+    return np.where(codes > known, 0, codes.astype(np.int64) + 1).astype("<u4")
+
+
+def numbered(marks):
+    """The codes that ``first_seen`` has marked."""
+    import numpy as np
+
+    new, codes = marks == 0, marks.astype(np.int64) - 1
+    codes[new] = np.arange(new.sum())
+    return codes
+
+
 def squeezed(value):
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, pickle.HIGHEST_PROTOCOL))
+    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(value, pickle.HIGHEST_PROTOCOL))
 
 
 def opened(payload):
@@ -139,7 +156,7 @@ def blocks_of(batches, schema, path, buckets, block_bytes):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, kept.schema) as stream:
             stream.write_batch(kept)
-        texts = squeezed((sink.getvalue().to_pybytes(), planes(lengths), planes(np.concatenate(codes)), planes(places)))
+        texts = squeezed((sink.getvalue().to_pybytes(), planes(lengths), planes(first_seen(np.concatenate(codes))), planes(places)))
         columns = {"block": [block] * (len(lists) + 1), "bucket": [None, *lists],
                    "payload": [texts, *[squeezed(joined(v)) for v in lists.values()]]}
         return batch_of(schema, columns, len(lists) + 1)
@@ -197,7 +214,7 @@ def filled(batches, schema, finish):
         ids = [next(lists[place]) for place in numbers_of(places).tolist()]
         kept = pa.ipc.open_stream(kept).read_all().column("row").combine_chunks()
         ends = numbers_of(lengths).cumsum(dtype=np.int64).tolist()
-        codes, at = numbers_of(codes), 0
+        codes, at = numbered(numbers_of(codes)), 0
         while at < len(ends):  # a few texts at a time
             to = at + 1
             while to < len(ends) and to - at < 2000 and ends[to] - (ends[at - 1] if at else 0) < 500_000:
@@ -207,7 +224,7 @@ def filled(batches, schema, finish):
             at = to
 
 
-def encode(df: DataFrame, path, finish, results, text_col="text", carry=None, buckets=None, block_bytes=16 << 20) -> DataFrame:
+def encode(df: DataFrame, path, finish, results, text_col="text", carry=None, buckets=None, block_bytes=32 << 20) -> DataFrame:
     """The rows of ``df`` (columns ``carry``) as the struct ``row``, with the columns ``results`` that ``finish`` gives."""
     carry = list(df.columns if carry is None else carry)
     source = df.select(packed(df, carry), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
