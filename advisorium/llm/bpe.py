@@ -9,6 +9,7 @@ shuffled is one word per block, not one per place, and no task holds more than a
 Decoding joins each id with its piece (the vocabulary is of fixed size) and reads the joined bytes as UTF-8.
 """
 
+import os
 import pickle
 import re
 import zlib
@@ -24,6 +25,7 @@ from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked
 # Letters below U+0250. Texts with other letters, apostrophes or white space in a row are cut at spaces only.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 COARSE = re.compile(r"\s\s|['ɐ-\U0010ffff]")
+SPACED = bytes(32 if chr(c).isspace() else c for c in range(256))
 FINE_WORD = re.compile(f" ?[{LETTERS}]+|(?:[^ {LETTERS}]| (?![{LETTERS}]))+")
 INNER_SPACE = re.compile(r"(?= \S)")
 TABLE = [("block", "bigint"), ("bucket", "int"), ("payload", "binary")]
@@ -38,13 +40,26 @@ def words_of(text, added=()):
     """
     if any(token in text for token in added):
         return [text]
-    if COARSE.search(text):
+    try:  # most texts have single bytes, for which the test is quick
+        coarse = "'" in text or b"  " in text.encode("latin-1").translate(SPACED)
+    except UnicodeEncodeError:
+        coarse = COARSE.search(text)
+    if coarse:
         return INNER_SPACE.split(text)
     return FINE_WORD.findall(text)
 
 
+class Numbers(dict):
+    """Gives each new key the next number."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
@@ -162,17 +177,17 @@ def blocks_of(batches, schema, path, buckets, block_bytes):
         return batch_of(schema, columns, len(lists) + 1)
 
     for batch in batches:
-        first, size, index, codes, lengths = 0, 0, {}, [], []
+        first, size, index, codes, lengths = 0, 0, Numbers(), [], []
         for n, text in enumerate(batch.column("text")):
             text = text.as_py()
             words = words_of(text, added)
-            codes.append(np.array([index.setdefault(w, len(index)) for w in words], "<u4"))
+            codes.append(np.fromiter(map(index.__getitem__, words), "<u4", len(words)))
             lengths.append(len(words))
             size += len(text)
             if size >= block_bytes or n == batch.num_rows - 1:
                 yield rows_of(batch.column("row").slice(first, n + 1 - first), index, codes, lengths)
                 block += 1
-                first, size, index, codes, lengths = n + 1, 0, {}, [], []
+                first, size, index, codes, lengths = n + 1, 0, Numbers(), [], []
 
 
 def in_groups(batches, name):
