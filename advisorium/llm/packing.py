@@ -76,13 +76,13 @@ def packed_groups(batches, schema, capacity):
 
 def pack(df: DataFrame, path, text_col="text", carry=None, capacity=2048, group_pieces=1 << 15, seed=11, with_ids=True,
          **options) -> DataFrame:
-    """One row per piece: the columns of ``df`` with start, length, ids_crc32, doc_tokens, ids, sequence_id, offset.
+    """One row per piece: the columns ``carry`` of ``df`` (default: all but the text) with start, length, ids_crc32, doc_tokens, ids, sequence_id, offset.
 
     The ids of a text are followed by id 1, so a null or empty text is one piece of one token. Repeated rows are
     packed each on its own; an empty table gives no rows; columns of ``df`` named like a result are replaced.
     ``with_ids=False`` leaves the ids of the pieces null. A group has about ``group_pieces`` pieces.
     """
-    carry = [c for c in (df.columns if carry is None else carry) if c not in RESULTS]
+    carry = [c for c in ([c for c in df.columns if c != text_col] if carry is None else carry) if c not in RESULTS]
 
     def finish(own):
         cut = [pieces_of(ids, capacity, with_ids) for ids in own]
