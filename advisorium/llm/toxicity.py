@@ -14,7 +14,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked
+from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked, written
 
 TOKEN = re.compile(r"[^\W_]+")
 QUOTED = re.compile("\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“”\n]{1,400}[“”]")
@@ -22,7 +22,7 @@ QUOTED = re.compile("\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch "
                           "usted ustedes tus vosotros".split())
 WINDOW = 12
-SHORTEST_STEM, LONGEST_STEM = 4, 9
+SHORTEST_STEM, LONGEST_STEM = 4, 8
 SHORTEST_FUZZY = 5
 KNOWN = 400_000
 RESULTS = ("held_out", "score", "predicted")
@@ -266,12 +266,12 @@ def fitted(features, labels, penalty=1.0, rounds=30):
     return means.tolist(), scales.tolist(), w.tolist()
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sample=20_000, size=400, support=8):
+def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sample=8_000, size=400, support=8):
     """A model (lexicon, regression) from at most ``sample`` labelled rows; None where one of the labels has no rows.
 
     The driver holds at most ``20 * size`` candidate terms and nine numbers per sampled row.
     """
-    rows = training_rows(docs, labels, id_col, text_col, sample)
+    rows = written(training_rows(docs, labels, id_col, text_col, sample), "sample")
     terms = mined(rows, size, support)
     if not terms:
         return None
