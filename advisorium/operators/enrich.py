@@ -169,10 +169,20 @@ def entries_from_csv(rows: DataFrame, at, contributor: str, source: str) -> Data
     ])
 
 
+def _is_true(value, path):
+    """Truth of a JSON value by its type: false, null, zero and what is empty are false, all else is true."""
+    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+    text_value = F.try_variant_get(value, path, "string")
+    return F.coalesce(
+        F.when(kind == "VOID", False).when(kind == "BOOLEAN", text_value == "true").when(kind == "STRING", text_value != "")
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text_value.isin("[]", "{}"))
+        .otherwise(F.try_variant_get(value, path, "double") != 0), F.lit(False))
+
+
 def parse_responses(df: DataFrame, column="response") -> DataFrame:
     """Add ``status`` (converted, skipped, failed) and the parsed ``recommendation``.
 
-    A response may be fenced; the fence lines are removed. A true ``skip`` value drops it,
+    A response may be fenced; the fence lines are removed. A ``skip`` value that is true by its type drops it,
     anything but a JSON object has failed.
     """
     body = text.strip(F.col(column))
@@ -180,8 +190,7 @@ def parse_responses(df: DataFrame, column="response") -> DataFrame:
     fence_free = F.when(body.startswith("```"), unfenced).otherwise(body)
     parsed = df.withColumn("__json", fence_free).withColumn("__value", F.try_parse_json("__json"))
     is_object = F.coalesce(F.schema_of_variant("__value").startswith("OBJECT"), F.lit(False))
-    skip = F.try_variant_get("__value", "$.skip", "string")
-    skipped = F.coalesce(~skip.isin("false", "0", ""), F.lit(False))
+    skipped = _is_true("__value", "$.skip")
     status = F.when(~is_object, "failed").when(skipped, "skipped").otherwise("converted")
     recommendation = F.when(F.col("status") == "converted", F.from_json("__json", model.RECOMMENDATION))
     return (parsed.withColumn("status", status)

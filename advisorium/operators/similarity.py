@@ -6,7 +6,8 @@ Fitting is plain Spark SQL. Scoring has two forms with the same exact result:
   index, and the new texts are scored where they lie, without a shuffle.
 * Beyond it both sides are cut into blocks of limited size and every pair of blocks is one
   group. A group walks the terms its rows share and emits the best match per new row only,
-  so no pair of rows is ever written out.
+  so no pair of rows is ever written out. New rows meet again by a number of their own, so
+  that repeated and null keys give what they give in the first form.
 """
 
 import sys
@@ -95,7 +96,9 @@ def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=
         best = _score_in_place(shared, index.postings.toArrow(), [key, *keep], stop_words)
     else:
         n_blocks = -(-weights // block_weights)
-        best = _score_in_blocks(shared, index.postings, key, keep, stop_words, n_blocks, block_items)
+        # Rows meet again by a number of their own: keys may repeat or be null.
+        numbered = written(shared.withColumn("__row", F.monotonically_increasing_id()), "texts")
+        best = _score_in_blocks(numbered, index.postings, "__row", [key, *keep], stop_words, n_blocks, block_items)
     matched = F.coalesce(F.col("score"), F.lit(0.0)) > 0
     return best.select(
         key, *keep, F.when(matched, F.col("score")).otherwise(F.lit(0.0)).alias("score"),
@@ -282,13 +285,20 @@ def _score_in_blocks(texts, postings, key, keep, stop_words, n_blocks, block_ite
 def nearest_vectors(new: DataFrame, existing: DataFrame, key: str, vector: str, position: str,
                     max_broadcast: int = MAX_BROADCAST_WEIGHTS, block_numbers: int = BLOCK_WEIGHTS,
                     block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Best cosine similarity of embeddings per new row: (key, score, position of the closest)."""
-    left = new.select(F.col(key), F.col(vector).cast("array<double>").alias("v")).filter(F.size("v") > 0)
+    """Best cosine similarity of embeddings per new row: (key, score, position of the closest).
+
+    The width is that of most existing vectors, of the larger one in a tie. Rows of another width, or with
+    missing components, count as rows without a vector; new ones are not returned.
+    """
+    whole = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull())
+    left = new.select(F.col(key), F.col(vector).cast("array<double>").alias("v")).filter(whole)
     right = existing.select(F.col(position).cast("long").alias("position"), F.col(vector).cast("array<double>").alias("v"))
-    right = right.filter(F.size("v") > 0)
-    n_old, width = right.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    right = right.filter(whole)
+    widths = right.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    n_old, width = widths.agg(F.max(F.struct("n", "width")).alias("top")).select("top.n", "top.width").first()
     if not n_old:
         return left.select(key, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("position"))
+    left, right = left.filter(F.size("v") == width), right.filter(F.size("v") == width)
     schema = f"`{key}` {new.schema[key].dataType.simpleString()}, score double, position long"
     if n_old * width <= max_broadcast:
         shared = new.sparkSession.sparkContext.broadcast(_pack_vectors(right.toArrow()))
@@ -301,18 +311,22 @@ def nearest_vectors(new: DataFrame, existing: DataFrame, key: str, vector: str,
     n_slices = max(1, -(-left.count() // block_items))
     n_blocks = -(-n_old // max(1, block_numbers // width))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = left.select(key, "v", F.pmod(F.xxhash64(key), F.lit(n_slices)).cast("int").alias("slice"), every(n_blocks).alias("block"))
+    # Rows meet again by a number of their own: keys may repeat or be null.
+    numbered = written(left.withColumn("__row", F.monotonically_increasing_id()), "vectors")
+    left = numbered.select("__row", "v", F.pmod(F.xxhash64("__row"), F.lit(n_slices)).cast("int").alias("slice"), every(n_blocks).alias("block"))
     right = right.select("position", "v", F.pmod(F.xxhash64("position"), F.lit(n_blocks)).cast("int").alias("block"),
                          every(n_slices).alias("slice"))
 
     def run_block(some, others):
         if not others.num_rows:
-            return _best_vectors(some.slice(0, 0), key, None)
-        return _best_vectors(some, key, _pack_vectors(others))
-
-    partial = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(run_block, schema)
-    top = partial.groupBy(key).agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
-    return top.select(key, F.col("top.score").alias("score"), (-F.col("top.before")).alias("position"))
+            return _best_vectors(some.slice(0, 0), "__row", None)
+        return _best_vectors(some, "__row", _pack_vectors(others))
+
+    block_schema = "__row long, score double, position long"
+    partial = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(run_block, block_schema)
+    top = partial.groupBy("__row").agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
+    return numbered.select(key, "__row").join(top, "__row").select(
+        key, F.col("top.score").alias("score"), (-F.col("top.before")).alias("position"))
 
 
 def _matrix(column):

@@ -36,42 +36,54 @@ def start_ingest(items: DataFrame, root: str, checkpoint: str, **trigger):
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-_COUNTERS = "source_id string, consecutive_errors long, consecutive_empty long, last_ts timestamp"
+_LOG = "source_id string, ts timestamp, error boolean, items long, not_modified boolean"
 
 
-def merge_counters(state: DataFrame, batch: DataFrame, **options) -> DataFrame:
-    """Counters after a batch of later fetches: a run goes on unless the batch ended it."""
-    change = trailing_counters(batch, **options).select(
-        F.col("source_id").alias("__source"), *[F.col(c).alias(f"new_{c}") for c in (
-            "consecutive_errors", "consecutive_empty", "last_success", "last_non_empty", "last_ts")])
-    both = state.join(change, state["source_id"] == change["__source"], "full")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    goes_on = lambda name, end: F.when(F.col(end).isNull(), zero(name)).otherwise(0) + zero(f"new_{name}")
-    return both.select(
-        F.coalesce("source_id", "__source").alias("source_id"),
-        goes_on("consecutive_errors", "new_last_success").alias("consecutive_errors"),
-        goes_on("consecutive_empty", "new_last_non_empty").alias("consecutive_empty"),
-        F.coalesce("new_last_ts", "last_ts").alias("last_ts"))
+def still_counting(log: DataFrame) -> DataFrame:
+    """The fetches that can still count: those since the last success or the last non-empty one, whichever is earlier.
 
+    The counters of these rows are those of the whole log, and stay so whatever rows come later,
+    in any order of time.
+    """
+    ended = F.col("error") | (F.col("items") > 0)
+    ends = log.groupBy("source_id").agg(
+        F.max(F.when(~F.col("error"), F.col("ts"))).alias("__success"), F.max(F.when(ended, F.col("ts"))).alias("__items"))
+    marked = log.join(ends, "source_id")
+    open_run = F.col("__success").isNull() | F.col("__items").isNull()
+    return marked.filter(open_run | (F.col("ts") >= F.least("__success", "__items"))).drop("__success", "__items")
 
-def start_counters(log: DataFrame, root: str, checkpoint: str, not_modified_is_empty: bool = False, **trigger):
-    """Keep the trailing counters of every source up to date, one version per micro-batch."""
+
+def merge_log(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """The fetches that still count after a batch, whose rows may be older than those before it."""
+    if "not_modified" not in batch.columns:
+        batch = batch.withColumn("not_modified", F.lit(False))
+    columns = [F.col(c).cast(state.schema[c].dataType).alias(c) for c in state.columns]
+    return still_counting(state.unionByName(batch.select(*columns)))
+
+
+def start_counters(log: DataFrame, root: str, checkpoint: str, **trigger):
+    """Keep what the trailing counters of every source need, in two folders that take turns.
+
+    A batch reads the folder of the one before it and overwrites the other, so a batch that runs
+    again finds what it found at first.
+    """
 
     def update(batch, batch_id):
         spark = batch.sparkSession
-        before = read_or_empty(spark, f"{root}/version={batch_id - 1}", _COUNTERS)
-        merged = merge_counters(before, batch, not_modified_is_empty=not_modified_is_empty)
-        merged.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+        before = read_or_empty(spark, f"{root}/turn={(batch_id - 1) % 2}", f"{_LOG}, batch_id long")
+        before = before.filter(F.col("batch_id") == batch_id - 1).drop("batch_id")
+        merged = merge_log(before, batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        merged.write.mode("overwrite").parquet(f"{root}/turn={batch_id % 2}")
 
     writer = log.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def read_counters(spark, root: str) -> DataFrame:
-    """The counters of the newest finished version."""
-    versions = spark.read.schema(f"{_COUNTERS}, version long").parquet(root)
-    newest = versions.agg(F.max("version")).collect()[0][0]
-    return versions.filter(F.col("version") == newest).drop("version")
+def read_counters(spark, root: str, not_modified_is_empty: bool = False) -> DataFrame:
+    """The counters after the newest finished batch."""
+    rows = spark.read.schema(f"{_LOG}, batch_id long, turn int").parquet(root)
+    newest = rows.agg(F.max("batch_id").alias("n")).scalar()
+    return trailing_counters(rows.filter(F.col("batch_id") == newest), not_modified_is_empty)
 
 
 def daily_extremes(metrics: DataFrame, delay: str = "1 day") -> DataFrame:

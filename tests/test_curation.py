@@ -193,6 +193,12 @@ def test_responses(spark):
     assert rows[0].recommendation.build_priority == 2
 
 
+def test_skip_is_true_by_its_type(spark):
+    falsy, truthy = ("false", "null", "0", "0.0", '""', "[]", "{}"), ("true", "1", "-0.5", '"false"', '"0"', "[0]", '{"a": 1}')
+    df = spark.createDataFrame([(f'{{"skip": {v}, "id": "x"}}', v in truthy) for v in falsy + truthy], "response string, skip boolean")
+    assert all((r.status == "skipped") == r.skip for r in enrich.parse_responses(df).collect())
+
+
 def test_csv_to_published_table(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
         "service_name,scenario,alert_criteria,risk_detail,rec_category,build_priority,effort_level,link_1,link_2,link_3,output (pro / con) \n"

@@ -112,6 +112,30 @@ def test_scoring_does_not_shuffle_texts(spark, texts):
     assert "Exchange" not in outer and "Join" not in plan.split("Subquery")[0]
 
 
+@pytest.mark.parametrize("bound", [100_000, 1])
+def test_repeated_and_null_keys(spark, bound):
+    existing = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta epsilon")], "position long, text string")
+    items = spark.createDataFrame([(1, "alpha beta"), (1, "delta"), (None, "gamma"), (None, None)], "key long, text string")
+    index = similarity.fit(existing, "text", "position")
+    rows = similarity.score(items, index, "key", "text", keep=("text",), max_broadcast=bound, block_weights=2, block_items=2).collect()
+    got = sorted((repr(r.key), r.text or "", r.score > 0, r.position) for r in rows)
+    assert got == [("1", "alpha beta", True, 1), ("1", "delta", True, 2), ("None", "", False, 1), ("None", "gamma", True, 1)]
+
+
+@pytest.mark.parametrize("options", [{}, {"max_broadcast": 1, "block_numbers": 2, "block_items": 1}])
+def test_vectors_of_other_widths_and_repeated_keys(spark, options):
+    old = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0, 1.0]), (4, [None, 1.0])], "position long, v array<float>")
+    new = spark.createDataFrame([(7, [1.0, 0.1]), (7, [0.1, 1.0]), (None, [0.0, 2.0]), (8, [1.0]), (9, None)], "key long, v array<float>")
+    got = similarity.nearest_vectors(new, old, "key", "v", "position", **options).collect()
+    assert sorted((repr(r.key), r.position) for r in got) == [("7", 1), ("7", 2), ("None", 2)]
+
+
+def test_stop_words():
+    from advisorium.functions.stop_words import ENGLISH
+
+    assert len(ENGLISH) == 318 and {"whereupon", "thru", "amongst", "nevertheless"} < set(ENGLISH)
+
+
 def cosine(a, b):
     length = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
     return sum(x * y for x, y in zip(a, b)) / length if length else 0.0

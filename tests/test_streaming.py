@@ -63,6 +63,25 @@ def test_counter_stream_equals_batch(spark, tmp_path):
     assert any(errors > 0 for _, errors, _ in found)
 
 
+def test_late_rows_find_their_place(spark):
+    """Batches in any order of time end in the counters of the whole log."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(f"s{rng.randrange(6)}", START + timedelta(hours=h), rng.random() < 0.6, rng.randrange(2), rng.random() < 0.2) for h in range(150)]
+    rows.append(("s9", START, True, 0, False))
+    schema = "source_id string, ts timestamp, error boolean, items long, not_modified boolean"
+    expected = ranking.trailing_counters(spark.createDataFrame(rows, schema)).drop("last_success", "last_non_empty")
+    rng.shuffle(rows)
+    state = spark.createDataFrame([], schema)
+    for n in range(0, len(rows), 40):
+        merged = streaming.merge_log(state, spark.createDataFrame(rows[n:n + 40], schema)).collect()
+        state = spark.createDataFrame(merged, schema)
+    assert state.count() < len(rows)
+    found = ranking.trailing_counters(state).select(*expected.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_unique_within_a_delay(spark, tmp_path):
     schema = "source_id string, content_hash string, ts timestamp"
     rows = [("s", "h", START), ("s", "h", START + timedelta(minutes=5)), ("s", "g", START), ("t", "h", START)]
