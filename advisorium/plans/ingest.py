@@ -78,14 +78,14 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
     content_hash. ``existing``: position, scenario, text. ``responses``: ord, response,
     retry_response. ``catalog``: id. ``scoring``: options of ``similarity.score``.
     """
+    keys = items.select("ord", "source_id", "content_hash")
+    admitted = first_items(keys, max_items)
+    # Most items of a run are known from earlier ones, so only the new ones are read, scored and parsed.
+    fresh = written(fresh_items(admitted, seen, dry_run), "fresh")
     index = similarity.fit(existing, "text", "position")
     title_body = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
-    scores = similarity.score(items, index, "ord", title_body, keep=("source_id", "content_hash"), **(scoring or {}))
-    scores = written(scores, "scores")
-    keys = scores.select("ord", "source_id", "content_hash")
-    admitted = first_items(keys, max_items)
-    fresh = fresh_items(admitted, seen, dry_run)
-    scored = fresh.join(scores.select("ord", "score", "position"), "ord").withColumn("score", F.round("score", 4))
+    scores = similarity.score(items.join(fresh, "ord", "left_semi"), index, "ord", title_body, **(scoring or {}))
+    scored = written(scores.select("ord", F.round("score", 4).alias("score"), "position"), "scores")
     is_duplicate = F.col("score") >= threshold
 
     if dry_run or not convert:
@@ -93,7 +93,8 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
             "outcome": F.when(is_duplicate, "duplicate").otherwise("dry_run" if dry_run else "not_converted"),
             "retried": F.lit(False), "recommendation_id": F.lit(None).cast("string")})
     else:
-        converted = conversions(responses, at, contributor)
+        wanted = scored.filter(~is_duplicate).select("ord")
+        converted = conversions(responses.join(wanted, "ord", "left_semi"), at, contributor)
         known = scored.join(converted, "ord", "left")
         known = known.withColumns({
             "stopped": F.when(is_duplicate, "duplicate").when(F.col("recommendation").isNull(),

@@ -49,8 +49,11 @@ FROM recs_dq r LEFT JOIN e ON e.id = r.id GROUP BY 1, 2""",
         lambda df: quality.validity(df).select("id", "scenario", F.size("messages").cast("long").alias("n_errors"), "is_valid"))
 checked("q6_violations", _ALL, quality.violations)
 checked("q7_strict", _ALL + "\nUNION ALL " + _STRICT, lambda df: quality.violations(df, strict=True))
-checked("q10_repeated_ids", "SELECT service_name, count(*) AS n FROM recs_dq GROUP BY 1 HAVING count(*) > 1",
-        lambda df: quality.repeated_ids(df, "service_name"))
+# every id of eight characters or fewer stands twice
+query("q10_repeated_ids", with_views("recs_dq") + """SELECT id, count(*) AS n FROM (SELECT id FROM recs_dq UNION ALL
+ SELECT id FROM recs_dq WHERE length(id) < 9) t GROUP BY 1 HAVING count(*) > 1""")(
+    lambda spark, sf: quality.repeated_ids(view(spark, sf, "recs_dq").select("id").transform(
+        lambda ids: ids.unionAll(ids.filter(F.length("id") < 9))), "id"))
 _FILES = f""", e AS ({_ALL}), v AS (SELECT r.service_name, r.id, EXISTS (SELECT 1 FROM e WHERE e.id = r.id) AS bad FROM recs_dq r),
 f AS (SELECT service_name AS file, count(*) AS entries, CAST(sum(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT) AS valid_entries FROM v GROUP BY 1)
 """
@@ -117,10 +120,10 @@ def _sql_found(patterns):
     return "(" + " OR ".join(tests) + ")"
 
 
-on_recs("e1_standard_rules", f", c AS (SELECT id, {_TEXT} AS txt FROM recs) SELECT id, CASE WHEN "
-        + _sql_found(rule_tables.GENERAL_PATTERNS) + " THEN NULL " + " ".join(
-            f"WHEN {_sql_found(r.patterns)} THEN '{r.target}'" for r in rule_tables.SERVICE_RULES) + " END AS classified FROM c",
-        lambda df: enrich.classified_service(df).select("id", "classified"))
+query("e1_standard_rules", with_views("recs_named").rstrip() + f", c AS (SELECT id, {_TEXT} AS txt FROM recs_named) SELECT id, CASE WHEN "
+      + _sql_found(rule_tables.GENERAL_PATTERNS) + " THEN NULL " + " ".join(
+          f"WHEN {_sql_found(r.patterns)} THEN '{r.target}'" for r in rule_tables.SERVICE_RULES) + " END AS classified FROM c")(
+    lambda spark, sf: enrich.classified_service(view(spark, sf, "recs_named")).select("id", "classified"))
 
 # Filling ----------------------------------------------------------------------------------------
 

@@ -54,9 +54,9 @@ query("a13_findings_by_risk", BASE + f"SELECT coalesce(risk_type, 'unknown') AS
 
 
 @query("j2_match_rules", BASE + """SELECT resource_id, id AS rule_id, service, usage, scenario, recommendation_action
-FROM resources JOIN rules_v ON service = service_name WHERE contains(scenario, 'tag') AND usage < 5000""")
+FROM resources JOIN rules_v ON service = service_name WHERE contains(scenario, 'ingly') AND usage < 5000""")
 def _match(spark, sf):
-    return joins.match_rules(view(spark, sf, "resources"), view(spark, sf, "rules_v"), "tag", "usage", 5000.0)
+    return joins.match_rules(view(spark, sf, "resources"), view(spark, sf, "rules_v"), "ingly", "usage", 5000.0)
 
 
 @query("j3_first_rule", BASE + f"SELECT id, risk_detail, severity FROM {_NAT} t")

@@ -33,6 +33,15 @@ TEXTS = {
     "recs": _RECS.format(extra=""),
     # recs with its number and the source of its document, for the columns that hold arrays
     "recs_plus": _RECS.format(extra=", d.doc_id AS n, d.source AS src"),
+    # recs with words of the standard rules, each in every sixteenth text
+    "recs_named": """
+SELECT id, service_name, concat(CASE CAST(id AS BIGINT) % 16 WHEN 0 THEN 'EC2 instance type ' WHEN 1 THEN 'old volume ' WHEN 2 THEN 'S3 bucket policy '
+         WHEN 3 THEN 'aurora cluster ' WHEN 4 THEN 'DynamoDB table ' WHEN 5 THEN 'lambda timeout ' WHEN 6 THEN 'CloudFront origin '
+         WHEN 7 THEN 'load balancer ' WHEN 8 THEN 'one VPC subnet ' WHEN 9 THEN 'IAM user with MFA ' WHEN 10 THEN 'Fargate task '
+         WHEN 11 THEN 'a dns zone ' WHEN 12 THEN 'kinesis shard ' WHEN 13 THEN 'redis node ' ELSE '' END, scenario) AS scenario,
+       alert_criteria, recommendation_action, recommendation_description_detailed, risk_detail
+FROM (@recs@) recs
+""",
     "recs_dq": """
 SELECT CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN concat(substring(md5(id), 1, 8), '-', substring(md5(id), 9, 4), '-',
          substring(md5(id), 13, 4), '-', substring(md5(id), 17, 4), '-', substring(md5(id), 21, 12)) ELSE id END AS id,
