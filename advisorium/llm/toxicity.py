@@ -23,7 +23,7 @@ SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vou
                           "usted ustedes tus vosotros".split())
 WINDOW = 12
 SHORTEST_STEM, LONGEST_STEM = 4, 8
-SHORTEST_FUZZY = 5
+SHORTEST_FUZZY, STRONG = 5, 3.0  # misspellings are looked for of words this long whose log odds are this high
 KNOWN = 400_000
 RESULTS = ("held_out", "score", "predicted")
 
@@ -35,15 +35,16 @@ class Lexicon:
         self.terms, self.exceptions = dict(terms), frozenset(exceptions)
         self.stems = {t[:-1] for t in terms if t.endswith("*")}
         self.lengths = sorted({len(s) for s in self.stems}, reverse=True)
-        self.trie, self.heads, self.tails = {}, set(), set()
-        for term in (t for t in terms if not t.endswith("*") and len(t) >= SHORTEST_FUZZY):
+        self.trie, self.heads, self.tails = {}, {}, {}
+        for term in (t for t, weight in self.terms.items() if not t.endswith("*") and len(t) >= SHORTEST_FUZZY and weight >= STRONG):
             node = self.trie
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = term
-            # one edit leaves one half as it is, at its end of the word
-            self.heads.add(term[:len(term) // 2])
-            self.tails.add(term[len(term) // 2:])
+            # one edit leaves one half as it is, at its end of the word, and changes the length by one at most
+            near = {len(term) - 1, len(term), len(term) + 1}
+            self.heads.setdefault(term[:len(term) // 2], set()).update(near)
+            self.tails.setdefault(term[len(term) // 2:], set()).update(near)
         self.head_lengths, self.tail_lengths = ({len(x) for x in xs} for xs in (self.heads, self.tails))
 
     def near(self, word, edits=1):
@@ -83,7 +84,9 @@ class Lexicon:
                 return f"{word[:n]}*", 0
         if len(word) < SHORTEST_FUZZY - 1 or word in self.exceptions:
             return None
-        if not (any(word[:n] in self.heads for n in self.head_lengths) or any(word[-n:] in self.tails for n in self.tail_lengths)):
+        size = len(word)
+        if not (any(size in self.heads.get(word[:n], ()) for n in self.head_lengths)
+                or any(size in self.tails.get(word[-n:], ()) for n in self.tail_lengths)):
             return None
         found = self.near(word)
         return min(((term, e) for e, term in found), key=lambda x: (x[1], -self.terms[x[0]], x[0]), default=None)
@@ -215,7 +218,7 @@ def mined(rows, size, support):
     rate = (F.col("toxic_tokens") + 0.5) / toxic, (F.col("clean_tokens") + 0.5) / clean
     weight = F.log(rate[0] / rate[1])
     gain = (share[0] - share[1]) / F.sqrt(share[0] * (1 - share[0]) / toxic + share[1] * (1 - share[1]) / clean)
-    best = (sums.where("term <> ''").withColumns({"weight": weight, "gain": gain * F.when(F.col("term").endswith("*"), 1.0).otherwise(1.1)}).where("weight > 1.2 AND gain > 3")
+    best = (sums.where("term <> ''").withColumns({"weight": weight, "gain": gain * F.when(F.col("term").endswith("*"), 1.0).otherwise(1.1)}).where("weight > 1.8 AND gain > 4")
             .orderBy(F.desc("gain"), F.length("term").desc(), "term").limit(20 * size).collect())
     terms = {}
     for row in best:
