@@ -1,13 +1,13 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, exact containment verifies them.
 
 Everything is built-in expressions over arrays, without a shuffle of texts. A segment of a text becomes hashes of
-its five-word shingles, and panes of ``p`` shingles; a window is five panes and windows begin at every pane. A
-template of n shingles belongs to the largest power of two p up to n, so it is shorter than two panes, and a window
-around the pane that holds a given shingle of it holds all of it. A band is one minimum over the shingle hashes
-under one mask: the template's smallest shingle lies in some pane, and is the smallest of that pane as well with a
-chance of at least n / (n + p - 1), over one half. So ``bands`` of one row miss an occurrence with a chance below
-2 ** -bands. Windows retrieved by equal minima are verified: the share of a template's shingles found in the window
-must reach ``containment``. The panes of 2p take their minima from those of p.
+its five-word shingles, in panes of ``p`` shingles; windows are 25 panes and begin at every pane. A template of n
+shingles belongs to the largest p among 1, 4, 16, ... with 3p <= n, so it is shorter than twelve panes, and the
+window around a pane that holds a shingle of it holds all of it. A band is one minimum over the shingle hashes under
+one mask: the template's smallest shingle lies in some pane, and is the smallest of that pane as well with a chance
+of n / (n + p - 1) at least, four fifths, or surely for p = 1. So a whole occurrence is missed with a chance of
+0.2 ** bands at most. Windows retrieved by equal minima are verified: the share of a template's shingles found in
+the window must reach ``containment``. The panes of 4p take their minima from those of p.
 """
 
 from functools import reduce
@@ -72,23 +72,17 @@ def prepared(spark, templates, bands):
     classes = {}
     for name, hashes in sorted((r["name"], r["hashes"]) for r in found):
         if hashes:
-            p = 1 << (len(hashes).bit_length() - 1)
+            p = 1
+            while 12 * p <= len(hashes):
+                p *= 4
             classes.setdefault(p, []).append((name, hashes, [min(h ^ m for h in hashes) for m in masks(bands)]))
     return classes
 
 
-def halved(panes):
-    """The minima of panes twice as long, band by band."""
-    return F.transform(panes, lambda a: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.floor((F.size(a) - 1) / 2).cast("int"), F.lit(0))),
-        lambda k: F.least(F.get(a, 2 * k), F.get(a, 2 * k + 1))))
-
-
-def paired(hashes, bands):
-    """The minima of panes of two shingles, band by band."""
-    return F.transform(literal(masks(bands)), lambda m: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.floor((F.size(hashes) - 1) / 2).cast("int"), F.lit(0))),
-        lambda k: F.least(F.get(hashes, 2 * k).bitwiseXOR(m), F.get(hashes, 2 * k + 1).bitwiseXOR(m))))
+def quartered(a):
+    """The minima of every four elements in a row."""
+    last = F.greatest(F.floor((F.size(a) - 1) / 4).cast("int"), F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.array_min(F.slice(a, 4 * k + 1, 4)))
 
 
 def retrieved(panes, members):
@@ -103,9 +97,9 @@ def retrieved(panes, members):
     return F.when(some, F.array_distinct(F.flatten(F.transform(panes, hits)))).otherwise(F.array().cast("array<int>"))
 
 
-def single(hashes, members):
-    """Numbers of the shingles that are a template of one shingle; one band tells."""
-    wanted = literal(sorted({h for _, own, _ in members for h in own}))
+def single(hashes, members, bands):
+    """The same for panes of one shingle: its hash is the minimum under every mask, so one look tells for all bands."""
+    wanted = literal(sorted({low ^ m for _, _, lows in members for low, m in zip(lows, masks(bands))}))
     return F.when(F.arrays_overlap(hashes, wanted), F.filter(
         F.sequence(F.lit(0), F.size(hashes) - 1), lambda k: F.array_contains(wanted, F.get(hashes, k)))).otherwise(
         F.array().cast("array<int>"))
@@ -114,15 +108,15 @@ def single(hashes, members):
 def verified(p, name, hashes):
     """The windows of class ``p`` with the containment of one template in each, and where they begin."""
     def match(k):
-        begin = F.greatest((k - 2) * p, F.lit(0))
-        own = F.slice("hashes", begin + 1, (k + 3) * p - begin)
+        begin = F.greatest((k - 12) * p, F.lit(0))
+        own = F.slice("hashes", begin + 1, (k + 13) * p - begin)
         return F.struct(F.lit(name).alias("license"), (F.size(F.array_intersect(own, literal(hashes))) / len(hashes)).alias("containment"),
                         (F.col("first") + begin).alias("position"))
 
     return F.transform(F.col(f"windows_{p}"), match)
 
 
-def scan(df: DataFrame, templates=None, id_col="doc_id", text_col="text", carry=None, containment=0.8, bands=8,
+def scan(df: DataFrame, templates=None, id_col="doc_id", text_col="text", carry=None, containment=0.8, bands=5,
          segment_words=4000) -> DataFrame:
     """One row per text and template found in it: license, containment (the best window), position (the word at
     which the first window found begins, from 0) and windows (how many were found).
@@ -133,7 +127,7 @@ def scan(df: DataFrame, templates=None, id_col="doc_id", text_col="text", carry=
     """
     carry = [c for c in (df.columns if carry is None else carry) if c not in RESULTS]
     classes = prepared(df.sparkSession, templates or TEMPLATES, bands)
-    overlap = 5 * max(classes, default=1) + WORDS
+    overlap = 25 * max(classes, default=1) + WORDS
     step = max(segment_words, overlap) - overlap + 1
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(packed(df, carry), F.monotonically_increasing_id().alias("row_id"), coded(words(text)).alias("words"))
@@ -142,15 +136,15 @@ def scan(df: DataFrame, templates=None, id_col="doc_id", text_col="text", carry=
     parts = parts.select("row", "row_id", "first", F.slice("words", F.col("first") + 1, max(segment_words, overlap)).alias("codes"))
     hashed = parts.select("row", "row_id", "first", shingles(F.col("codes")).alias("hashes"))
     level, p, found = hashed, 1, sorted(classes)
-    while p <= max(found, default=0):
-        if p == 2:
-            level = level.withColumn("panes", paired(F.col("hashes"), bands))
-        elif p > 2:
-            level = level.withColumn("panes", halved(F.col("panes")))
+    if 1 in classes:
+        level = level.withColumn("windows_1", single(F.col("hashes"), classes[1], bands))
+    while p < max(found, default=1):
+        if p == 1:
+            level = level.withColumn("masked", F.transform(literal(masks(bands)), lambda m: F.transform("hashes", lambda h: h.bitwiseXOR(m))))
+        level = level.withColumn("panes", F.transform("masked" if p == 1 else "panes", quartered))
+        p *= 4
         if p in classes:
-            windows = single(F.col("hashes"), classes[p]) if p == 1 else retrieved(F.col("panes"), classes[p])
-            level = level.withColumn(f"windows_{p}", windows)
-        p *= 2
+            level = level.withColumn(f"windows_{p}", retrieved(F.col("panes"), classes[p]))
     matches = [verified(p, name, hashes) for p in found for name, hashes, _ in classes[p]]
     # outer explodes: from others the optimizer infers filters, and computes all this a second time for them
     windows = level.select("row", "row_id", F.explode_outer(
