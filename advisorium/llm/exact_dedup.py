@@ -113,10 +113,13 @@ def spilled(path):
 
 
 def grace(records, budget, fan_out, folder, level=0):
-    """(leader, best row, count, digest) of every record, the records of one content together."""
+    """(content, best rank, best member, count, all members) of each content, its records together.
+
+    A record is (hash of the content, member, rank, copies, content).
+    """
     table, files = ContentTable(), {}
     for record in records:
-        key, leader, best, copies, content = record
+        key, member, best, copies, content = record
         at, entry = table.find(key, content)
         if entry < 0 and table.hashes and table.size + len(content) > budget:
             part = (key >> (64 - 4 * (level + 1))) % fan_out
@@ -125,14 +128,15 @@ def grace(records, budget, fan_out, folder, level=0):
             pickle.dump(record, files[part], pickle.HIGHEST_PROTOCOL)
             continue
         if entry < 0:
-            table.add(at, key, content, [best, 0, []])
+            table.add(at, key, content, [best, member, 0, []])
         value = table.values[entry]
-        value[0], value[1] = max(value[0], best), value[1] + copies
-        value[2].append(leader)
-    for content, (best, copies, members) in zip(table.contents, table.values):
-        digest = hashlib.sha256(content).hexdigest()
-        for leader in members:
-            yield leader, best[1] if best[0] else None, -best[2], copies, digest
+        if best > value[0]:
+            value[:2] = best, member
+        value[2] += copies
+        if isinstance(member, int):
+            value[3].append(member)
+    for content, value in zip(table.contents, table.values):
+        yield (content, *value)
     del table
     for file in files.values():
         file.close()
@@ -143,9 +147,17 @@ def grace(records, budget, fan_out, folder, level=0):
         os.remove(file.name)
 
 
+def members_of(groups):
+    """(leader, keep id, keep row, count, digest) of every leader."""
+    for content, best, _, copies, members in groups:
+        digest = hashlib.sha256(content).hexdigest()
+        for leader in members:
+            yield leader, best[1] if best[0] else None, -best[2], copies, digest
+
+
 def groups_of(batches, schema, budget, fan_out):
     with tempfile.TemporaryDirectory() as folder:
-        rows = grace(records_of(batches), budget, fan_out, folder)
+        rows = members_of(grace(records_of(batches), budget, fan_out, folder))
         while part := list(islice(rows, 10_000)):
             yield batch_of(schema, dict(zip(schema.names, zip(*part))), len(part))
 
@@ -175,9 +187,60 @@ def assign(df: DataFrame, id_col="doc_id", text_col="text", carry=None, budget=6
                                   "kept": F.col("row_id") == F.col("keep_row"), "text_sha256": F.col("text_sha256")})
 
 
-def kept(df: DataFrame, **options) -> DataFrame:
-    """The rows of ``df`` that stay, with its columns."""
-    carried = df.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in df.columns])
-    names = {k: f"in_{options.get(k, v)}" for k, v in (("id_col", "doc_id"), ("text_col", "text"))}
-    rows = assign(carried, **(options | names)).where("kept")
-    return rows.select(*[F.col(f"`in_{c}`").alias(c) for c in df.columns])
+def best_rows(batches, schema, budget):
+    """Of the equal texts that a scan task sees the best row, as bytes, with the hash of its content."""
+    import xxhash
+    from pyspark import TaskContext
+
+    first_row = TaskContext.get().partitionId() << 36
+    table, seen = ContentTable(), 0
+
+    def flush():
+        values = table.values
+        return batch_of(schema, {
+            "key": [h - (1 << 64) if h >> 63 else h for h in table.hashes], "top_row": [-v[0][2] for v in values],
+            "top_id": [v[0][1] if v[0][0] else None for v in values],
+            "row": [pickle.dumps(v[1][v[2]].as_py(), pickle.HIGHEST_PROTOCOL) for v in values]}, len(values))
+
+    for batch in batches:
+        rows = batch.column("row")
+        for i, (number, content) in enumerate(zip(batch.column("id").to_pylist(), batch.column("content"))):
+            content = content.as_py().translate(LOWER)
+            key, best = xxhash.xxh64_intdigest(content), rank(number, first_row + seen)
+            seen += 1
+            at, entry = table.find(key, content)
+            if entry < 0:
+                table.add(at, key, content, [best, rows, i])
+            elif best > table.values[entry][0]:
+                table.values[entry][:] = best, rows, i
+        if table.size > budget:
+            yield flush()
+            table = ContentTable()
+    yield flush()
+
+
+def winners(batches, schema, budget, fan_out, text_name):
+    """The best row of each content; contents are made again from the rows."""
+    def records():
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in ("key", "top_id", "top_row", "row")]
+            for key, number, row, payload in zip(*columns):
+                text = pickle.loads(payload)[text_name] or ""
+                yield key & (1 << 64) - 1, payload, rank(number, row), 1, text.encode().translate(LOWER)
+
+    with tempfile.TemporaryDirectory() as folder:
+        groups = grace(records(), budget, fan_out, folder)
+        while part := list(islice(groups, 500)):
+            yield batch_of(schema, {"row": [pickle.loads(g[2]) for g in part]}, len(part))
+
+
+def kept(df: DataFrame, id_col="doc_id", text_col="text", budget=64 << 20, fan_out=16) -> DataFrame:
+    """The rows of ``df`` that stay, with its columns: what ``assign`` marks as kept, without its table of members."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    plain = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    source = plain.select(packed(plain), F.col(names[id_col]).alias("id"),
+                          F.coalesce(F.col(names[text_col]), F.lit("")).cast("binary").alias("content"))
+    fields = [("key", "bigint"), ("top_id", df.schema[id_col].dataType), ("top_row", "bigint"), ("row", "binary")]
+    local = in_arrow(source, best_rows, fields, budget).repartition("key")
+    rows = in_arrow(local, winners, [("row", row_type(plain, plain.columns))], budget, fan_out, names[text_col])
+    return rows.select(*[F.col(f"row.{n}").alias(c) for c, n in names.items()])

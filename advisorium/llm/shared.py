@@ -1,10 +1,30 @@
 """Small helpers of the corpus operators."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from advisorium.sources.scratch import written  # noqa: F401
+from advisorium.sources.scratch import scratch_root
+
+TABLES = []  # intermediate tables that may still be read
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the checkpoint folder, so that later uses do not compute it again."""
+    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    TABLES.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark):
+    """Delete the intermediate tables so far; for callers that have written all results that were made from them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(TABLES.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def packed(df: DataFrame, names=None, alias="row"):

@@ -32,14 +32,15 @@ def test_against_plain_python(docs, awkward, budget):
 
 def test_grace_splits_what_does_not_fit(tmp_path):
     records = [(hash((i % 50,)) & (1 << 64) - 1, i, exact_dedup.rank(i, i), 1, f"text {i % 50}".encode()) for i in range(500)]
-    rows = list(exact_dedup.grace(records, 1000, 4, str(tmp_path)))
-    assert sorted(r[0] for r in rows) == list(range(500))
+    groups = list(exact_dedup.grace(records, 1000, 4, str(tmp_path)))
+    rows = list(exact_dedup.members_of(groups))
+    assert len(groups) == 50 and sorted(r[0] for r in rows) == list(range(500))
     assert all(copies == 10 and best == 450 + leader % 50 for leader, best, _, copies, _ in rows)
 
 
 def test_kept_rows_and_empty_table(docs, awkward):
     rows = docs(awkward)
-    kept = exact_dedup.kept(rows)
+    kept = exact_dedup.kept(rows, budget=300, fan_out=2)
     assert kept.columns == rows.columns and kept.schema == rows.schema
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [2, 4, 5, 6, 7]
     assert exact_dedup.assign(rows.limit(0)).collect() == []
