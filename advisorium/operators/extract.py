@@ -68,8 +68,27 @@ def crawl_links(pages: DataFrame, key: str, pattern: str, max_pages: int = 20) -
     return pages.select(key, F.posexplode(links).alias("position", "link"))
 
 
+# Elements that hold others; those that are often left open in pages are not among them.
+CONTAINERS = "(?i)</?(?:html|body|main|article|section|div|aside|header|footer|nav|ul|ol|dl|table|form|blockquote|figure|details)(?:[\\s/][^>]*)?>"
+
+
+def within_parent(html: Column) -> Column:
+    """What follows a place up to where the element that holds it closes."""
+    tags, parts = F.regexp_extract_all(html, F.lit(CONTAINERS), F.lit(0)), F.split(html, CONTAINERS)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(-1).alias("cut"))
+
+    def step(state, tag):
+        depth = state["depth"] + F.when(tag.startswith("</"), -1).when(tag.endswith("/>"), 0).otherwise(1)
+        cut = F.when((state["cut"] < 0) & (depth < 0), state["n"]).otherwise(state["cut"])
+        return F.struct(depth.alias("depth"), (state["n"] + 1).alias("n"), cut.alias("cut"))
+
+    cut = F.aggregate(tags, start, step)["cut"]
+    return F.when(cut < 0, html).otherwise(F.array_join(F.slice(parts, F.lit(1), cut + 1), " "))
+
+
 def header_sections(pages: DataFrame, key: str, levels=(2, 3, 4), decode=text.replace_known_entities) -> DataFrame:
-    """One row per header of the given levels with the text up to the next header of level 1-4.
+    """One row per header of the given levels with the text up to the next header of level 1-4, or
+    to where the element that holds the header closes.
 
     Scripts, styles and comments are dropped. Titles and bodies under the section gate are
     skipped and the body is cut to 4,000 characters.
@@ -85,7 +104,7 @@ def header_sections(pages: DataFrame, key: str, levels=(2, 3, 4), decode=text.re
         n.alias("position"),
         F.lower(F.left(half[0], F.lit(2))).alias("header_level"),
         F.when(F.size(half) == 2, text.strip_html(F.substring(half[0], F.lit(4), F.length(half[0])), decode)).alias("title"),
-        F.when(F.size(half) == 2, text.strip_html(half[1], decode)).alias("body")))
+        F.when(F.size(half) == 2, text.strip_html(within_parent(half[1]), decode)).alias("body")))
     # Gated inside the row: a filter on rows would be pushed down and strip the texts again.
     wanted = [f"h{n}" for n in levels]
     kept = F.filter(sections, lambda s: s["header_level"].isin(*wanted)

@@ -5,19 +5,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from advisorium.functions import text
-from advisorium.sources.scratch import written
 
 
 def rule_for(rules: DataFrame, *texts: str, ignore_case: bool = False, order="ord") -> DataFrame:
-    """The first rule whose scenario contains all the texts: one row with a struct ``rule``.
-
-    The row is written, so that findings stamped with it do not search the catalogue again.
-    """
+    """The first rule whose scenario contains all the texts: one row with a struct ``rule``."""
     scenario = F.lower("scenario") if ignore_case else F.col("scenario")
     for wanted in texts:
         rules = rules.filter(scenario.contains(wanted.lower() if ignore_case else wanted))
     rule = F.struct("id", "risk_detail", "risk_value", "scenario", "recommendation_action")
-    return written(rules.agg(F.min_by(rule, F.col(order)).alias("rule")), "rule")
+    return rules.agg(F.min_by(rule, F.col(order)).alias("rule"))
 
 
 def stamp(resources: DataFrame, rule: DataFrame, service: str, resource_type: str, resource_id,

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from advisorium.operators.filters import in_services, risk_contains
-from advisorium.operators.spread import first_n_per_group, keep_first, measured_lookup
+from advisorium.operators.spread import first_n_per_group, keep_first
 
 # Retention limits of the pipeline state.
 MAX_HASHES_PER_SOURCE = 10_000
@@ -100,7 +100,8 @@ def trailing_counters(log: DataFrame, not_modified_is_empty: bool = False) -> Da
     )
     after = lambda end: F.col(end).isNull() | (F.col("ts") > F.col(end))
     count = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
-    marked = measured_lookup(rows, ends, ["source_id"], ["ts"], how="inner")
+    # Adaptive execution broadcasts the ends where they are small, and splits a hot source where not.
+    marked = rows.join(ends, "source_id")
     return marked.groupBy("source_id").agg(
         count(F.col("is_error") & after("last_success")).alias("consecutive_errors"),
         count(F.col("is_empty") & after("last_non_empty")).alias("consecutive_empty"),

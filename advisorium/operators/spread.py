@@ -7,11 +7,7 @@ rows after an executor is lost) and put the sections together again once they ar
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from advisorium.sources.scratch import written
-
 _SECTION, _RANK = "__section", "__rank"
-# Rows of two or three short columns that may go to every executor.
-MAX_BROADCAST_ROWS = 100_000
 
 
 def first_n_per_group(df: DataFrame, keys, order, n, spread_by) -> DataFrame:
@@ -53,19 +49,6 @@ def spread_lookup(rows: DataFrame, lookup: DataFrame, keys, spread_by, how="left
     return dealt.join(repeated, [*keys, _SECTION], how).drop(_SECTION)
 
 
-def measured_lookup(rows: DataFrame, lookup: DataFrame, keys, spread_by, how="left",
-                    max_broadcast_rows=MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join many rows to an aggregate of a few columns with one row per key.
-
-    The aggregate is computed once and written, so its size is known: a small one is broadcast
-    and the rows stay where they are, a larger one is joined with the rows dealt out.
-    """
-    table = written(lookup, "lookup")
-    if table.count() <= max_broadcast_rows:
-        return rows.join(F.broadcast(table), [*keys], how)
-    return spread_lookup(rows, table, keys, spread_by, how)
-
-
 def bounded_parts(df: DataFrame, key: str, id_col: str, max_rows: int) -> DataFrame:
     """Add ``part``: which of ceil(rows / max_rows) even parts of its key a row belongs to.
 
@@ -75,6 +58,7 @@ def bounded_parts(df: DataFrame, key: str, id_col: str, max_rows: int) -> DataFr
     df = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
     sizes = df.groupBy("__key").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_rows)).alias("__parts"))
     digits = F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 8), 16, 10)
-    sized = measured_lookup(df, sizes, ["__key"], [id_col], how="inner")
+    # Adaptive execution broadcasts the sizes where they are small, and splits a hot key where not.
+    sized = df.join(sizes, "__key")
     part = F.pmod(digits.cast("long"), F.col("__parts")).cast("int")
     return sized.withColumn("part", part).drop("__parts", "__key")

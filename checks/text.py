@@ -65,11 +65,16 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS
     lambda spark, sf: extract.crawl_links(table(spark, sf, "pages"), "page_id", "example"))
 
 _HIDDEN = "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+_HOLDS = extract.CONTAINERS
 _SECTIONS = f"""WITH v AS (SELECT page_id, url, regexp_replace(html, '{_HIDDEN}', ' ', 'g') AS html FROM pages),
 m AS (SELECT page_id, url, string_split(regexp_replace(html, '(?i)<(h[1-4])(\\s[^>]*)?>', chr(1) || chr(1) || '\\1' || chr(2), 'g'), chr(1) || chr(1)) AS p FROM v),
 e AS (SELECT page_id, url, i - 2 AS position, p[i] AS piece FROM (SELECT page_id, url, p, unnest(range(2, len(p) + 1)) AS i FROM m) t),
+b AS (SELECT *, regexp_extract(piece, '(?is)^h[1-4]' || chr(2) || '.*?</h[1-4]\\s*>(.*)$', 1) AS raw FROM e),
+t AS (SELECT *, regexp_extract_all(raw, '{_HOLDS}', 0) AS tags FROM b),
+n AS (SELECT *, list_position([list_sum([CASE WHEN x LIKE '</%' THEN -1 WHEN x LIKE '%/>' THEN 0 ELSE 1 END FOR x IN tags[1:i]]) FOR i IN range(1, len(tags) + 1)], -1) AS cut FROM t),
+w AS (SELECT *, CASE WHEN cut > 0 THEN array_to_string(regexp_split_to_array(raw, '{_HOLDS}')[1:cut], ' ') ELSE raw END AS own FROM n),
 s AS (SELECT page_id, url, position, lower(left(piece, 2)) AS header_level, {_text_sql("regexp_extract(piece, '(?is)^h[1-4]' || chr(2) || '(.*?)</h[1-4]\\s*>', 1)")} AS title,
- {_text_sql("regexp_extract(piece, '(?is)^h[1-4]' || chr(2) || '.*?</h[1-4]\\s*>(.*)$', 1)")} AS body FROM e)
+ {_text_sql("own")} AS body FROM w)
 SELECT page_id, url, CAST(position AS INT) AS position, header_level, title, left(body, 4000) AS body FROM s WHERE length(title) >= 5 AND length(body) >= 50 AND header_level = 'h1'"""
 query("x4_header_sections", _SECTIONS)(lambda spark, sf: extract.header_sections(table(spark, sf, "pages"), "page_id", levels=(1,)))
 

@@ -49,6 +49,14 @@ def test_header_sections(spark):
     assert [(r.title, r.header_level) for r in tops] == [("Whole page title", "h1")] and tops[0].body.startswith("Intro text")
 
 
+def test_sections_end_with_the_element_of_their_header(spark):
+    html = ("<body><div><h2>A title</h2><div><p>Inner text that is long enough to pass the gate of fifty characters.</p></div>"
+            "<section>own</section></div><footer>not part of it</footer><h3>Next title</h3>" + "z" * 60 + "</body> after")
+    pages = spark.createDataFrame([(1, "u", html)], "id int, url string, html string")
+    rows = extract.header_sections(pages, "id").orderBy("position").collect()
+    assert [r.body for r in rows] == ["Inner text that is long enough to pass the gate of fifty characters. own", "z" * 60]
+
+
 def test_selected_items(spark):
     html = """<div id=main><div class="rule item"><h3>One <i>title</i></h3><p>Body of the first rule.</p><br><script>x</script></div>
     <div class="rule item"><h3></h3><p>No title, so this one is left out.</p></div>
