@@ -74,10 +74,12 @@ def test_links_give_the_components_of_all_pairs(spark, dense):
     assert {n: got.get(n, n) for n in signed} == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_components(spark, few):
+    """In one task and by rounds."""
     edges = [(1, 2), (2, 3), (9, 8), (7, 7), (None, 1), (3, 2), *[(20 + i, 21 + i) for i in range(40)], (100, 60)]
     frame = spark.createDataFrame(edges, "u bigint, v bigint").repartition(5)
-    assert {r.node: r.root for r in components(frame).collect()} == {2: 1, 3: 1, 9: 8, 100: 20, **{i: 20 for i in range(21, 61)}}
+    assert {r.node: r.root for r in components(frame, few=few).collect()} == {2: 1, 3: 1, 9: 8, 100: 20, **{i: 20 for i in range(21, 61)}}
     assert components(frame.limit(0)).collect() == []
 
 
