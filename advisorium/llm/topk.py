@@ -20,17 +20,16 @@ def searched(ids, vectors, query_ids, queries, k):
     """(query id, vector id, score): the k best of one shard for each query, ties to the smaller id."""
     import numpy as np
 
-    width = vectors.shape[1]
+    # about half of the vectors are in each list, so a list is held as a row of weights, 0 for those that are not
+    columns = np.ascontiguousarray(vectors.T)
     lists = {}
-    for d in range(width):
+    for d, column in enumerate(columns):
         for sign in (1, -1):
-            members = np.nonzero(sign * vectors[:, d] > 0)[0]
-            weights = sign * vectors[members, d]
-            lists[d, sign] = members, weights, int(weights.max(initial=0))
-    columns = np.ascontiguousarray(vectors.T)
+            weights = np.maximum(sign * column, 0)
+            lists[d, sign] = weights, int(weights.max(initial=0))
     out = []
     for number, query in zip(query_ids, queries):
-        terms = [(abs(int(q)) * lists[d, 1 if q > 0 else -1][2], d, int(q)) for d, q in enumerate(query) if q]
+        terms = [(abs(int(q)) * lists[d, 1 if q > 0 else -1][1], d, int(q)) for d, q in enumerate(query) if q]
         terms = sorted((t for t in terms if t[0]), reverse=True)
         rest = np.cumsum([0, *[t[0] for t in reversed(terms)]])[::-1].tolist()  # bound of the terms from i on
         bound, own = np.zeros(len(ids), np.int64), ids == number
@@ -39,8 +38,7 @@ def searched(ids, vectors, query_ids, queries, k):
         least, at = None, 0  # score of the k-th best known vector
         while at < len(terms) and (least is None or least <= 0 or rest[at] >= least):
             _, d, q = terms[at]
-            members, weights, _ = lists[d, 1 if q > 0 else -1]
-            bound[members] += abs(q) * weights
+            bound += abs(q) * lists[d, 1 if q > 0 else -1][0]
             at += 1
             if at in (4, 12, 32) and others >= k:
                 seeds = np.argpartition(bound, -k)[-k:]
