@@ -134,7 +134,7 @@ def described(text, reader):
     """The features of a text: what its hits add up to, directly and quoted, and in its worst window."""
     tokens, hits = reader.hits(text)
     if not hits:
-        return [0.0] * 8 + [math.log1p(len(tokens)) / 5]
+        return [0.0] * 9  # one score for all texts without a hit, of whatever length
     quoted, terms = quoted_places(text), reader.lexicon.terms
     direct = cited = fuzzy = worst = addressed = 0.0
     window, total = [], 0.0
