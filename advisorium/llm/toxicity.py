@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked, written
 
 TOKEN = re.compile(r"[^\W_]+")
-QUOTED = re.compile("\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“”\n]{1,400}[“”]")
+MARK = re.compile("[\"“”«»„]")
+CLOSING = {"\"": "\"", "“": "”", "«": "»", "„": "“”"}
 #: Forms of address in the languages of the corpus.
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch "
                           "usted ustedes tus vosotros".split())
@@ -114,11 +115,26 @@ class Reader:
         return tokens, [(i, *hot[t]) for i, t in enumerate(tokens) if t in hot]
 
 
+def quotations(text):
+    """(start, end) of the quotations of a text, of whatever length; a mark that is never closed quotes nothing."""
+    marks, spans, never, i = [(m.start(), m[0]) for m in MARK.finditer(text)], [], set(), 0
+    while i < len(marks):
+        start, mark = marks[i]
+        if mark in CLOSING and mark not in never:
+            end = next((j for j in range(i + 1, len(marks)) if marks[j][1] in CLOSING[mark]), None)
+            if end is not None:
+                spans.append((start, marks[end][0] + 1))
+                i = end
+            else:
+                never.add(mark)
+        i += 1
+    return spans
+
+
 def quoted_places(text):
     """Numbers of the tokens inside quotation marks."""
     lower, inside = text.lower(), set()
-    if len(lower) != len(text) or not (spans := [m.span() for m in QUOTED.finditer(lower)]):
-        return inside
+    spans = quotations(lower)
     at = 0
     for i, token in enumerate(TOKEN.finditer(lower)):
         while at < len(spans) and spans[at][1] <= token.start():

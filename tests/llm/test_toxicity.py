@@ -40,6 +40,17 @@ def test_context():
     assert toxicity.described("", reader)[:8] == [0.0] * 8
 
 
+def test_long_quotations():
+    """Over 400 characters, over line ends, and after a capital whose lower case is longer."""
+    filler = "tree " * 100
+    for text in (f'she wrote "{filler}grumbly"', 'she wrote "tree\ngrumbly"', 'İ wrote "grumbly"', f"„{filler}\ngrumbly“"):
+        places = toxicity.quoted_places(text)
+        assert toxicity.TOKEN.findall(text.lower()).index("grumbly") in places
+    between = f'"{filler}" you grumbly "{filler}"'
+    assert 101 not in toxicity.quoted_places(between) and {0, 99, 102} <= toxicity.quoted_places(between)
+    assert toxicity.quoted_places('“never closed grumbly "tree" night') == {3}
+
+
 @pytest.fixture
 def corpus(spark):
     generator = random.Random(2)
