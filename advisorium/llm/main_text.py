@@ -49,6 +49,8 @@ LABELLED = (
 
 # Elements of the HTML standard by what they do to the text.
 SILENT = frozenset("script style template noscript svg math object iframe head title textarea select button canvas audio video".split())
+#: Of these, those whose content is no markup: never closed, they reach to the end of the page.
+RAW = frozenset("script style".split())
 BOILERPLATE = frozenset("nav footer aside form header menu dialog fieldset".split())
 ARTICLE = frozenset("article main".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
@@ -69,6 +71,7 @@ NAMES = frozenset("article articlebody post entry story content main body-text".
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 MARKS = re.compile(r"(?i)\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD_PART = re.compile(r"[a-z]+")
+LONG, LINK_POOR = 15, 34  # words and link density (in hundredths) of a block that speaks for its wrapper
 
 
 def marked(attributes):
@@ -87,14 +90,33 @@ def marked(attributes):
     return boilerplate, article and not boilerplate
 
 
+def firm(attributes):
+    """Whether an element that names boilerplate is hidden, or an advert or comments: its text never outvotes that."""
+    return any(name.lower() not in ("class", "id", "role") or OTHERS & set(WORD_PART.findall(value.lower()))
+               for name, value in MARKS.findall(attributes) if marked(f'{name}={value}' if value else name)[0])
+
+
+def outvoted(blocks):
+    """Wrappers named boilerplate that hold over half the words of a page's long, link-poor blocks."""
+    words, total = {}, 0
+    for _, _, (sure, wrappers), _, n, linked in blocks:
+        if not sure and n >= LONG and 100 * linked < LINK_POOR * n:
+            total += n
+            for w in wrappers:
+                words[w] = words.get(w, 0) + n
+    return {w for w, n in words.items() if 2 * n > total}
+
+
 def blocks_of(page):
     """Flat blocks of a page: [text, in_article, in_boilerplate, heading, words, words in links].
 
     Tags are followed by a stack of open elements; a closing tag without its opening one is ignored, and what is
     left open ends with its parent. The first article of a page begins afresh, whatever was left open before it.
+    Without one, a wrapper whose class, id or role names boilerplate is none if it holds most of the page's text.
     """
-    blocks, parts, linked = [], [], 0
-    stack = [("", False, False, False)]  # name, in article, in boilerplate, heading
+    blocks, parts, linked, unclosed, wrapper = [], [], 0, set(), 0
+    # name, in article, in boilerplate (for sure, by the class of which wrappers), heading
+    stack = [("", False, (False, ()), False)]
     in_link, at, n, seen = 0, 0, len(page), False
 
     def close_block():
@@ -130,8 +152,10 @@ def blocks_of(page):
                 if name not in INLINE:
                     close_block() if name in ("head", "title") else parts.append(" ")
                 if not tag[3].endswith("/"):
-                    closing = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                    at = closing.end() if closing else (at if name in ("head",) else n)
+                    closing = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+                    if closing is None:
+                        unclosed.add(name)
+                    at = closing.end() if closing else n if name in RAW else at
                 continue
             if name in INLINE:
                 if name == "a":
@@ -140,7 +164,7 @@ def blocks_of(page):
                     parts.append(" ")
                 if name in ("span", "a", "small", "label") and tag[3] and marked(tag[3])[0]:
                     close_block()
-                    stack.append((name, stack[-1][1], True, False))
+                    stack.append((name, stack[-1][1], (True, ()), False))
                 continue
             close_block()
             in_link = 0
@@ -148,15 +172,18 @@ def blocks_of(page):
                 continue
             if stack[-1][0] == "p" or stack[-1][0] == name in ("li", "tr", "td", "th", "dt", "dd", "option"):
                 stack.pop()
-            _, article, boilerplate, heading = stack[-1]
+            _, article, (sure, wrappers), heading = stack[-1]
             bad, good = marked(tag[3]) if tag[3] and name not in ("html", "body") else (False, False)
-            if name in ARTICLE and not (seen and boilerplate) and not (bad and OTHERS & set(WORD_PART.findall(tag[3].lower()))):
-                article, boilerplate, seen = True, False, True
-            elif name in BOILERPLATE and not (name == "header" and article) or bad:
-                boilerplate = True
-            elif good and not boilerplate:
+            if name in ARTICLE and not (seen and (sure or wrappers)) and not (bad and OTHERS & set(WORD_PART.findall(tag[3].lower()))):
+                article, sure, wrappers, seen = True, False, (), True
+            elif name in BOILERPLATE and not (name == "header" and article) or bad and (sure or firm(tag[3])):
+                sure = True
+            elif bad:
+                wrapper += 1
+                wrappers = (*wrappers, wrapper)
+            elif good and not sure:
                 article = True
-            stack.append((name, article, boilerplate, heading or name in HEADINGS))
+            stack.append((name, article, (sure, wrappers), heading or name in HEADINGS))
         elif name in INLINE:
             if name == "a":
                 in_link = 0
@@ -171,6 +198,10 @@ def blocks_of(page):
                     del stack[depth:]
                     break
     close_block()
+    free = set() if seen else outvoted(blocks)
+    for block in blocks:
+        sure, wrappers = block[2]
+        block[2] = sure or not free.issuperset(wrappers)
     return blocks
 
 

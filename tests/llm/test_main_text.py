@@ -30,6 +30,20 @@ def test_page_without_article():
     assert main_text(page) == f"{text.strip()}\n\nShort one.\n\n{text.strip()}"
 
 
+@pytest.mark.parametrize("wrapper", ["page has-sidebar", "site fixed-header", "social notice"])
+def test_wrapper_named_like_boilerplate(wrapper):
+    text, side = ("word " * 60).strip(), ("other " * 25).strip()
+    page = (f"<div class='{wrapper}'><div class='menu'><a href=a>Home</a></div><p>{text}</p><p>{text}</p>"
+            f"<div class='sidebar'><p>{side}</p></div><div class='comments'><p>{text}</p></div></div>")
+    assert main_text(page) == f"{text}\n\n{text}"
+
+
+@pytest.mark.parametrize("name", ["svg", "button", "select", "object", "video"])
+def test_silent_element_never_closed(name):
+    assert main_text(f"<article><p>before</p><{name} a=b><p>after</p></article>") == "before\n\nafter"
+    assert main_text("<article><p>before</p><script>if (a) <p>after</p></article>") == "before"
+
+
 def test_frame(spark):
     rows = [(1, "u", PAGE, "t", 0), (1, "u", PAGE, None, None), (None, None, None, "x", 1), (2, "v", "<p>" * 2000, None, 1)]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, n_chars int")
