@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from advisorium.llm import bpe, exact_dedup, licenses, main_text, packing, shards, simhash, topk, toxicity, warc
+from advisorium.llm import bpe, byte_bpe as ranked_bpe, exact_dedup, licenses, main_text, packing, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -116,3 +116,17 @@ def op6_bpe(spark, sf_dir):
 def op4_licenses(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(documents, carry=["doc_id"]).select("doc_id", "license", "containment", "position", "windows")
+
+
+def ranks():
+    """Rank file and pattern of the byte-level vocabulary; the operators take any."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = ranked_bpe.encode_texts(documents, *ranks(), carry=["doc_id"], places=False, decode=True, binary=True)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
