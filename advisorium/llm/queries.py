@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from advisorium.llm import bpe, byte_bpe as ranked_bpe, exact_dedup, licenses, main_text, packing, shards, simhash, topk, toxicity, warc
+from advisorium.llm import bpe, byte_bpe as ranked_bpe, exact_dedup, licenses, main_text, packing, repair, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -130,3 +130,9 @@ def op13_byte_bpe(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = ranked_bpe.encode_texts(documents, *ranks(), carry=["doc_id"], places=False, decode=True, binary=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_repair")
+def op12_repair(spark, sf_dir):
+    rows = repair.damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return repair.repair(rows, copies="copies")
