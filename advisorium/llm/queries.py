@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from advisorium.llm import bpe, byte_bpe as ranked_bpe, exact_dedup, licenses, main_text, packing, repair, shards, simhash, topk, toxicity, warc
+from advisorium.llm import bpe, byte_bpe as ranked_bpe, exact_dedup, lexical, licenses, main_text, packing, repair, shards, simhash, topk, toxicity, warc
 from advisorium.sources.scratch import scratch_root
 
 QUERIES, ORACLES = {}, {}
@@ -136,3 +136,25 @@ def op13_byte_bpe(spark, sf_dir):
 def op12_repair(spark, sf_dir):
     rows = repair.damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     return repair.repair(rows, copies="copies")
+
+
+@query("op11_lexical", r"""
+WITH lists AS (SELECT doc_id, [translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                               FOR t IN regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')] AS terms FROM documents),
+docs AS (SELECT row_number() OVER () AS r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM lists WHERE len(terms) > 0),
+sums AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+occurrences AS (SELECT r, unnest(terms) AS term FROM docs),
+postings AS (SELECT r, term, count(*) AS tf FROM occurrences GROUP BY r, term),
+asked AS (SELECT DISTINCT item_id, unnest([translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                                    FOR t IN regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')]) AS term FROM benchmark),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, sums GROUP BY term, big_n),
+stratum AS (SELECT r, doc_id, 100 - 50 + ((50 * n * big_n) // big_l) AS m FROM docs, sums),
+sums_of AS (SELECT item_id, s.r, s.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN stratum s USING (r) GROUP BY item_id, s.r, s.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sums_of WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+""")
+def op11_lexical(spark, sf_dir):
+    index = lexical.build(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark").select("item_id", "text"))

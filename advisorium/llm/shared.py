@@ -1,6 +1,8 @@
 """Small helpers of the corpus operators."""
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -8,23 +10,37 @@ from pyspark.sql import types as T
 
 from advisorium.sources.scratch import scratch_root
 
-TABLES = []  # intermediate tables that may still be read
+FOLDER = ContextVar("folder", default=None)  # where the tables of a run go, when their caller has named a folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the checkpoint folder, so that later uses do not compute it again."""
-    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{FOLDER.get() or scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark):
-    """Delete the intermediate tables so far; for callers that have written all results that were made from them."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(TABLES.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def folder(spark):
+    """Gives the path of a new folder, which takes the tables written inside the block. Its caller deletes it."""
+    path = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    token = FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        FOLDER.reset(token)
+
+
+def delete(spark, path):
+    """Delete a folder of tables, once all that was made from them is written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(table: DataFrame):
+    """Delete a table that ``written`` has made, once all that was made from it is written."""
+    for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        delete(table.sparkSession, path)
 
 
 def packed(df: DataFrame, names=None, alias="row"):
