@@ -23,7 +23,7 @@ from advisorium.llm.shared import batch_of, discard, in_arrow, written
 
 #: Letters and digits of ASCII and everything beyond it make terms; A-Z become a-z.
 SEPARATED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-BLOCK_DOCS, BLOCK_POSTINGS = 8192, 4_000_000  # documents and postings of a block at most (one document more of postings)
+BLOCK_DOCS, BLOCK_POSTINGS = 8192, 1_000_000  # documents and postings of a block at most (one document more of postings)
 QUERIES = 256  # queries that are scored together
 
 
@@ -53,7 +53,7 @@ def counted(batches, schema):
         column, at = batch.column("content"), 0
         while at < batch.num_rows:
             sizes, terms, tfs, lengths, size = [], [], [], [], 0
-            while at + len(sizes) < batch.num_rows and size < 8 << 20:
+            while at + len(sizes) < batch.num_rows and size < 4 << 20:
                 content = column[at + len(sizes)].as_py()
                 found = Counter(terms_of(content))
                 sizes.append(found.total())
@@ -63,7 +63,7 @@ def counted(batches, schema):
                 size += len(content)
             ends = pa.array(np.cumsum([0, *lengths]).astype(np.int32))
             lists = {"terms": pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary()).cast(pa.string())),
-                     "tfs": pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int64()))}
+                     "tfs": pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int32()))}
             kept = {n: batch.column(n).slice(at, len(sizes)) for n in schema.names if n not in ("n", "terms", "tfs")}
             yield batch_of(schema, kept | lists | {"n": sizes}, len(sizes))
             at += len(sizes)
@@ -98,7 +98,7 @@ def inverted(batches, schema, block_docs):
                 pa.array(ends[a:b + 1] - ends[a]), pa.array(values[ends[a]:ends[b]], kind))
             yield batch_of(schema, {
                 "block": pa.array(np.full(b - a, block)), "m": pa.array(np.full(b - a, stratum)), "term": names[a:b],
-                "tfs": cut(run_ends, tf[runs], pa.int64()), "counts": cut(run_ends, counts, pa.int32()),
+                "tfs": cut(run_ends, tf[runs], pa.int32()), "counts": cut(run_ends, counts, pa.int32()),
                 "places": cut(place_ends, place, pa.int32())}, b - a)
 
     for batch in batches:
@@ -121,13 +121,13 @@ def build(df: DataFrame, id_col="doc_id", text_col="text", block_docs=BLOCK_DOCS
     """The index of all rows of ``df``; a null text has no terms, repeated rows are documents of their own, ids may be null."""
     id_type = df.schema[id_col].dataType
     source = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("content"))
-    fields = [("id", id_type), ("n", "bigint"), ("terms", "array<string>"), ("tfs", "array<bigint>")]
+    fields = [("id", id_type), ("n", "bigint"), ("terms", "array<string>"), ("tfs", "array<int>")]
     texts = written(in_arrow(source, counted, fields), "counted")
     sums = texts.where("n > 0").agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
     m = F.expr(f"100 - 50 + ((50 * n * {sums.documents}L) div {max(sums.terms, 1)}L)")
     keyed = texts.where("n > 0").select("id", m.alias("m"), "terms", "tfs", F.monotonically_increasing_id().alias("row"))
     dealt = keyed.repartitionByRange("m", "row").sortWithinPartitions("m", "row").drop("row")
-    fields = [("block", "bigint"), ("m", "bigint"), ("term", "string"), ("tfs", "array<bigint>"), ("counts", "array<int>"),
+    fields = [("block", "bigint"), ("m", "bigint"), ("term", "string"), ("tfs", "array<int>"), ("counts", "array<int>"),
               ("places", "array<int>"), ("ids", T.ArrayType(id_type))]
     table = written(in_arrow(dealt, inverted, fields, block_docs), "index")
     discard(texts)  # all that is left of it is in the index
@@ -154,7 +154,7 @@ def scored(head, rows, schema, k):
             lists = {n: (batch.column(n).offsets.to_numpy(), batch.column(n).values.to_numpy()) for n in ("tfs", "counts", "places", "asked")}
             cut = lambda n, i: lists[n][1][lists[n][0][i]:lists[n][0][i + 1]]  # noqa: E731, B023
             for i, w in enumerate(batch.column("w").to_pylist()):
-                queries, tf = cut("asked", i), cut("tfs", i)
+                queries, tf = cut("asked", i), cut("tfs", i).astype(np.int64)
                 queries = queries[asked[queries]]
                 if len(queries):
                     impacts = w * (1_000_000_000 * tf // (1000 * tf + 20 * m))  # once for each tf
@@ -182,7 +182,7 @@ def search(index: Index, queries: DataFrame, k=50, query_col="item_id", text_col
     asked = queries.select(F.col(f"`{query_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("content"))
     # numbers have no gaps inside a partition, so sets of them are full
     numbered = asked.withColumn("query", F.monotonically_increasing_id())
-    fields = [("id", key_type), ("query", "bigint"), ("n", "bigint"), ("terms", "array<string>"), ("tfs", "array<bigint>")]
+    fields = [("id", key_type), ("query", "bigint"), ("n", "bigint"), ("terms", "array<string>"), ("tfs", "array<int>")]
     items = written(in_arrow(numbered, counted, fields), "queries")
     wanted = items.select("query", F.explode("terms").alias("term"))
     result = [F.col(n) for n in (query_col, "rank", id_name, "score")]
@@ -199,7 +199,7 @@ def search(index: Index, queries: DataFrame, k=50, query_col="item_id", text_col
     terms = weighted.groupBy("term", group.alias("set")).agg(F.first("w").alias("w"), F.collect_list(local).alias("asked"))
 
     most = F.array_max("tfs")
-    impact = F.expr("(1000000000 * most) div (1000 * most + 20 * m)")
+    impact = F.expr("(1000000000L * most) div (1000 * most + 20 * m)")
     tops = hits.select("block", "m", "term", most.alias("most")).select("block", "term", impact.alias("impact"))
     bounds = tops.join(weighted, "term").groupBy("query", "block").agg(F.sum(F.col("w") * F.col("impact")).alias("bound"))
     sizes = index.blocks.select("block", F.size("ids").alias("docs"))
