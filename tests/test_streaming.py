@@ -1,5 +1,7 @@
 """Streams give what the batch jobs give."""
 
+import random
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -30,56 +32,97 @@ def test_ingest_stream_equals_batch(spark, tmp_path):
     items = ingest.raw_items(documents, "lang", "doc_id", "text")
     items = items.unionByName(items.limit(30).withColumn("ord", F.col("ord") + 100_000))
     landing, root = str(tmp_path / "landing"), str(tmp_path / "state")
-    write_parts(items, landing, "ord", 4)
+    write_parts(items, landing, "ord", 3)
     for _ in range(2):  # starting again takes nothing twice
         streaming.start_ingest(stream(spark, items.schema, landing), root, str(tmp_path / "check")).awaitTermination()
     taken = spark.read.parquet(f"{root}/items")
-    assert taken.select("batch_id").distinct().count() > 1
     nothing = items.limit(0).select("source_id", "content_hash")
     expected = ingest.fresh_items(items.select("source_id", "content_hash", "ord"), nothing)
     assert sorted(r.ord for r in taken.collect()) == sorted(r.ord for r in expected.collect())
+    assert streaming.remembered(spark, str(tmp_path / "check")).count() == taken.count()
 
 
-def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    batch = spark.createDataFrame([("s", "h", 1, "x"), ("s", "h", 2, "y"), ("s", "g", 3, "z")], "source_id string, content_hash string, ord long, body string")
-    later = spark.createDataFrame([("s", "g", 4, "z"), ("s", "new", 5, "n")], batch.schema)
-    for frame, n in ((batch, 0), (later, 1), (later, 1), (batch, 0)):
-        streaming.take_new(frame, n, str(tmp_path))
-    assert sorted(r.ord for r in spark.read.parquet(f"{tmp_path}/items").collect()) == [1, 3, 5]
-    assert spark.read.parquet(f"{tmp_path}/seen").count() == 3
-
-
-def test_counter_stream_equals_batch(spark, tmp_path):
-    log = spark.read.parquet(f"{SMALL}/events.parquet").select(
-        F.col("user_id").cast("string").alias("source_id"), F.col("ts").cast("timestamp").alias("ts"),
-        F.col("event_type").isin("error", "click").alias("error"),
-        F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("items"))
-    landing, root = str(tmp_path / "landing"), str(tmp_path / "state")
-    write_parts(log, landing, "ts", 4)
-    streaming.start_counters(stream(spark, log.schema, landing), root, str(tmp_path / "check")).awaitTermination()
-    columns = ("source_id", "consecutive_errors", "consecutive_empty")
-    found = sorted(map(tuple, streaming.read_counters(spark, root).select(*columns).collect()))
-    assert found == sorted(map(tuple, ranking.trailing_counters(log).select(*columns).collect()))
-    assert any(errors > 0 for _, errors, _ in found)
-
-
-def test_late_rows_find_their_place(spark):
-    """Batches in any order of time end in the counters of the whole log."""
-    import random
-
+def test_newest_hashes_of_a_source_are_kept(spark, tmp_path):
+    """History grows tenfold in batches, with a restart between: what a batch reads of it stays bounded."""
+    rng = random.Random(3)
+    keep, parts = 20, 4
+    rows = [(f"s{rng.randrange(2)}", f"h{rng.randrange(60)}", n, f"body {n}") for n in range(240)]
+    schema = "source_id string, content_hash string, ord long, body string"
+    size = -(-len(rows) // parts)
+    expected, hashes = [], {}
+    for low in range(0, len(rows), size):
+        for source in ("s0", "s1"):
+            kept, batch = hashes.setdefault(source, []), {}
+            for _, found, order, _ in (r for r in rows[low:low + size] if r[0] == source):
+                if found not in kept:
+                    batch.setdefault(found, order)
+            expected += batch.values()
+            hashes[source] = (kept + sorted(batch, key=batch.get))[-keep:]
+    check = str(tmp_path / "check")
+    for some in (2, 4):  # the second start goes on where the first one ended
+        for n in range(some - 2, some):
+            spark.createDataFrame(rows[n * size:(n + 1) * size], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/part={n}")
+        streaming.start_ingest(stream(spark, schema, f"{tmp_path}/in"), str(tmp_path), check, keep).awaitTermination()
+    assert sorted(r.ord for r in spark.read.parquet(f"{tmp_path}/items").collect()) == sorted(expected)
+    held = streaming.remembered(spark, check).collect()
+    assert {s: [r.content_hash for r in sorted(held, key=lambda r: -r.age) if r.source_id == s] for s in hashes} == hashes
+
+
+def fetch_rows(rng, n):
+    rows = [(f"s{rng.randrange(6)}", START + timedelta(hours=h), rng.random() < 0.6, rng.randrange(2), rng.random() < 0.2) for h in range(n)]
+    return rows + [("s9", START, True, 0, False), ("s9", None, True, 0, False), ("s8", START, False, 3, False), ("s7", START, False, 0, True)]
+
+
+LOG = "source_id string, ts timestamp, error boolean, items long, not_modified boolean"
+
+
+def test_counters_of_shuffled_batches(spark, tmp_path):
+    """Batches in any order of time, with a restart between, end in the counters of the whole log."""
     rng = random.Random(5)
-    rows = [(f"s{rng.randrange(6)}", START + timedelta(hours=h), rng.random() < 0.6, rng.randrange(2), rng.random() < 0.2) for h in range(150)]
-    rows.append(("s9", START, True, 0, False))
-    schema = "source_id string, ts timestamp, error boolean, items long, not_modified boolean"
-    expected = ranking.trailing_counters(spark.createDataFrame(rows, schema)).drop("last_success", "last_non_empty")
+    rows = fetch_rows(rng, 120)
     rng.shuffle(rows)
-    state = spark.createDataFrame([], schema)
-    for n in range(0, len(rows), 40):
-        merged = streaming.merge_log(state, spark.createDataFrame(rows[n:n + 40], schema)).collect()
-        state = spark.createDataFrame(merged, schema)
-    assert state.count() < len(rows)
-    found = ranking.trailing_counters(state).select(*expected.columns)
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    check = str(tmp_path / "check")
+    for n in range(3):
+        spark.createDataFrame(rows[n * 42:(n + 1) * 42], LOG).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/part={n}")
+        if n != 1:  # two batches in the second run
+            streaming.start_counters(stream(spark, LOG, f"{tmp_path}/in"), check).awaitTermination()
+    whole = spark.createDataFrame(rows, LOG)
+    for flag in (False, True):
+        expected = ranking.trailing_counters(whole, flag)
+        found = streaming.read_counters(spark, check, flag).select(*expected.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert any(r.consecutive_errors > 1 for r in expected.collect())
+
+
+def test_summaries_merge_in_any_order():
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([True, True, False, None]), rng.choice([0, 0, 2, None]), rng.choice([True, False, None]))
+            for _ in range(60)]
+    whole = streaming.summarised(None, rows)
+    for _ in range(50):
+        rng.shuffle(rows)
+        summary = None
+        for low in range(0, len(rows), 7):
+            summary = streaming.summarised(summary, rows[low:low + 7])
+        assert summary == whole
+
+
+def test_idle_sources_are_told(spark, tmp_path):
+    spark.createDataFrame(fetch_rows(random.Random(7), 10), LOG).coalesce(1).write.parquet(f"{tmp_path}/in/part=0")
+    log = stream(spark, LOG, f"{tmp_path}/in")
+    collected = []
+
+    def take(batch, n):
+        collected.extend(batch.collect())
+
+    query = streaming.source_activity(log, idle_ms=0).writeStream.outputMode("update").foreachBatch(take).option(
+        "checkpointLocation", str(tmp_path / "check")).trigger(processingTime="1 second").start()
+    deadline = time.time() + 90
+    while time.time() < deadline and not any(r.idle for r in collected):
+        time.sleep(0.5)
+    query.stop()
+    assert {r.source_id for r in collected if r.idle} <= {r.source_id for r in collected if not r.idle}
+    assert any(r.idle for r in collected)
 
 
 def test_unique_within_a_delay(spark, tmp_path):
