@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from advisorium import model
 from advisorium.functions import rule_tables, text
-from advisorium.functions.rules import contains_any, first_matching, first_outcome
+from advisorium.functions.rules import contains_any, first_matching, first_outcome, literals_of, occurring
 from advisorium.operators.project import CLASSIFIED, classification_text
 
 
@@ -12,7 +12,9 @@ def classified_service(df: DataFrame, rules=rule_tables.SERVICE_RULES, keep=rule
     """Add ``classified``: the service of the first matching rule, null where a row stays."""
     present = [c for c in CLASSIFIED if c in df.columns]
     prepared = df.withColumn("__text", classification_text(present))
-    return prepared.withColumn("classified", first_matching(F.col("__text"), rules, keep)).drop("__text")
+    prepared = prepared.withColumn("__held", occurring(F.col("__text"), literals_of(rules, keep)))
+    chosen = first_matching(F.col("__text"), F.col("__held"), rules, keep)
+    return prepared.withColumn("classified", chosen).drop("__text", "__held")
 
 
 def reclassify(df: DataFrame, rules=rule_tables.SERVICE_RULES, keep=rule_tables.GENERAL_PATTERNS,

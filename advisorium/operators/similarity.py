@@ -1,13 +1,14 @@
 """Nearest existing entry of every new text: TF-IDF cosine, and cosine of embeddings.
 
-Fitting is plain Spark SQL. Scoring has two forms with the same exact result:
-
-* Up to a checked number of weights the existing side travels to the workers as one compact
-  index, and the new texts are scored where they lie, without a shuffle.
-* Beyond it both sides are cut into blocks of limited size and every pair of blocks is one
-  group. A group walks the terms its rows share and emits the best match per new row only,
-  so no pair of rows is ever written out. New rows meet again by a number of their own, so
-  that repeated and null keys give what they give in the first form.
+The existing side is a table of postings (term, position, weight), which is joined by term. A new text has its terms in
+order of what they can add to a score at most: its weight times the largest weight of the term in the table. What the terms
+from one place on can add together is a bound. The best posting of each term, which the vocabulary holds, gives every text a
+score that it reaches at least. A row that shares none of the terms whose bound reaches that score cannot be the closest, so
+only these terms, the prefix, are joined with all postings; of the pairs they give, those that can still reach the best
+sum of their text are completed from the rest of its terms. There is one plan at every size, the result is exact, and hot
+terms are split by adaptive execution as any hot join key is.
+
+Counts of an entry's terms are a table of their own that grows by appending: weights are made from it without the texts.
 """
 
 import sys
@@ -17,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from advisorium.functions.stop_words import ENGLISH
+from advisorium.operators.pivots import nearest_vectors  # noqa: F401
 from advisorium.operators.spread import spread_lookup
 from advisorium.sources.scratch import written
 
@@ -25,12 +27,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DUPLICATE_THRESHOLD = 0.70
 MAX_FEATURES = 5_000
-# Largest index sent to the workers: weights of the text index, numbers of the vector index.
-MAX_BROADCAST_WEIGHTS = 4_000_000
-BLOCK_WEIGHTS = 1_000_000
-BLOCK_ITEMS = 20_000
 # Scores are compared at this precision so that rounding noise cannot decide a tie.
 TIE_DECIMALS = 9
+MARGIN = 1e-8
 
 
 def words_of(text, stop_words=ENGLISH) -> Column:
@@ -50,59 +49,97 @@ def with_terms(df: DataFrame, text, stop_words=ENGLISH) -> DataFrame:
     return worded.withColumn("terms", F.concat("__words", bigrams)).drop("__words")
 
 
+class TextCounts(NamedTuple):
+    """What is kept of existing texts: (position, term, tf) rows, and a row (n, first) of their number and first position."""
+
+    terms: DataFrame
+    rows: DataFrame
+
+
 class TextIndex(NamedTuple):
-    """Fitted existing side: (position, term, idf, weight) rows, and the first position."""
+    """Fitted existing side: (code, position, weight) rows, the vocabulary (code, term, idf, top, at), and the first position.
+
+    ``top`` is the largest weight of a term, ``at`` the position that has it.
+    """
 
     postings: DataFrame
+    vocabulary: DataFrame
     first: DataFrame
 
 
-def fit(existing: DataFrame, text, position: str, max_features: int = MAX_FEATURES, stop_words=ENGLISH) -> TextIndex:
-    """Weights of the existing texts, fitted on them alone and written as a table.
+def counted(existing: DataFrame, text, position: str, stop_words=ENGLISH) -> TextCounts:
+    """Term counts of the existing texts, written as a table."""
+    text = F.col(text) if isinstance(text, str) else text
+    worded = with_terms(existing.select(F.col(position).alias("position"), text.alias("__text")), "__text", stop_words)
+    counts = worded.select("position", F.explode("terms").alias("term")).groupBy("position", "term").agg(
+        F.count(F.lit(1)).alias("tf"))
+    rows = existing.agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first"))
+    return TextCounts(written(counts, "counts"), rows)
+
+
+def merged(*parts: TextCounts) -> TextCounts:
+    """The counts of several sets of entries together, without their texts. No entry may be in two sets."""
+    terms, rows = parts[0]
+    for part in parts[1:]:
+        terms, rows = terms.unionByName(part.terms), rows.unionByName(part.rows)
+    return TextCounts(terms, rows.agg(F.sum("n").alias("n"), F.min("first").alias("first")))
+
+
+def weighed(counts: TextCounts, max_features: int = MAX_FEATURES) -> TextIndex:
+    """Weights from counts.
 
     The vocabulary is the ``max_features`` most frequent terms, ties by term. The inverse
     document frequency is ln((1 + n) / (1 + df)) + 1 and every row has unit length.
     """
-    worded = with_terms(existing.select(F.col(position).alias("position"), F.col(text).alias("__text")
-                                        if isinstance(text, str) else text.alias("__text")), "__text", stop_words)
-    counts = worded.select("position", F.explode("terms").alias("term")).groupBy("position", "term").agg(
-        F.count(F.lit(1)).alias("tf"))
-    frequency = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    frequency = counts.terms.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocabulary = frequency.orderBy(F.desc("total"), "term").limit(max_features)
-    size = existing.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = F.log((1 + size) / (1 + F.col("df"))) + 1
-    vocabulary = vocabulary.select("term", idf.alias("idf"))
-    # At most max_features rows, so this side may be broadcast whatever the catalogue's size.
-    weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    idf = F.log((1 + counts.rows.select("n").scalar()) / (1 + F.col("df"))) + 1
+    # At most max_features rows, so one task may number them and they may be broadcast whatever the catalogue's size.
+    code = (F.row_number().over(Window.orderBy("term")) - 1).alias("code")
+    vocabulary = written(vocabulary.select(code, "term", idf.alias("idf")).coalesce(1), "vocabulary")
+    weighted = counts.terms.join(F.broadcast(vocabulary), "term").withColumn("w", F.col("tf") * F.col("idf"))
     # A row has at most max_features terms, so this window group is small.
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("position")))
-    postings = weighted.select("position", "term", "idf", (F.col("w") / length).alias("weight"))
-    # Every score reads the weights again, and their number decides how it is done.
-    return TextIndex(written(postings, "postings"), existing.agg(F.min(position).alias("position")))
+    # Every score reads the weights several times.
+    postings = written(weighted.select("code", "position", (F.col("w") / length).alias("weight")), "postings")
+    tops = postings.groupBy("code").agg(F.max(F.struct("weight", "position")).alias("best")).select(
+        "code", F.col("best.weight").alias("top"), F.col("best.position").alias("at"))
+    return TextIndex(postings, vocabulary.join(tops, "code"), counts.rows.select("first"))
+
+
+def fit(existing: DataFrame, text, position: str, max_features: int = MAX_FEATURES, stop_words=ENGLISH) -> TextIndex:
+    """The index of the existing texts, fitted on them alone."""
+    return weighed(counted(existing, text, position, stop_words), max_features)
 
 
-def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=ENGLISH,
-          max_broadcast: int = MAX_BROADCAST_WEIGHTS, block_weights: int = BLOCK_WEIGHTS,
-          block_items: int = BLOCK_ITEMS) -> DataFrame:
+def score(new: DataFrame, index: TextIndex, key: str, text, keep=(), stop_words=ENGLISH) -> DataFrame:
     """Best cosine similarity per new row: (key, score, position of the closest).
 
     A row without a shared term scores 0 and points at the first existing row; with nothing to
-    compare to the position is null. The columns ``keep`` are carried along.
+    compare to the position is null. The columns ``keep`` are carried along. Keys may repeat or be null.
     """
     text = F.col(text) if isinstance(text, str) else text
-    shared = new.select(key, *keep, text.alias("__text"))
-    weights = index.postings.count()
-    if weights <= max_broadcast:
-        best = _score_in_place(shared, index.postings.toArrow(), [key, *keep], stop_words)
-    else:
-        n_blocks = -(-weights // block_weights)
-        # Rows meet again by a number of their own: keys may repeat or be null.
-        numbered = written(shared.withColumn("__row", F.monotonically_increasing_id()), "texts")
-        best = _score_in_blocks(numbered, index.postings, "__row", [key, *keep], stop_words, n_blocks, block_items)
-    matched = F.coalesce(F.col("score"), F.lit(0.0)) > 0
-    return best.select(
-        key, *keep, F.when(matched, F.col("score")).otherwise(F.lit(0.0)).alias("score"),
-        F.when(matched, F.col("position")).otherwise(index.first.scalar()).alias("position"))
+    carried = [key, *keep]
+    # Few weights are left of a text; dealing them out makes the joins independent of how the texts were split.
+    texts = written(_weighted_texts(new.select(*carried, text.alias("__text")), index, carried, stop_words).repartition("__row"), "texts")
+    prefix = texts.select("__row", "beyond", F.inline("prefix"))
+    met = prefix.join(index.postings, "code")
+    # Terms of a text meet again in one task, so that its best sum so far raises what a pair has to reach.
+    pairs = met.repartition("__row").groupBy("__row", "position").agg(
+        F.sum(F.col("w") * F.col("weight")).alias("s"), F.first("beyond").alias("beyond"))
+    reached = F.max("s").over(Window.partitionBy("__row")) - MARGIN
+    rivals = pairs.withColumn("reached", reached).filter(F.col("s") + F.col("beyond") >= F.col("reached"))
+    rest = rivals.select("__row", "position", "s").join(texts.select("__row", "tail"), "__row").select(
+        "__row", "position", "s", F.inline_outer("tail"))
+    rest = rest.join(index.postings, ["code", "position"], "left")
+    sums = rest.groupBy("__row", "position").agg(F.round(
+        F.first("s") + F.coalesce(F.sum(F.col("w") * F.col("weight")), F.lit(0.0)), TIE_DECIMALS).alias("score"))
+    best = sums.groupBy("__row").agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
+    joined = texts.select("__row", *carried).join(best, "__row", "left")
+    matched = F.coalesce(F.col("top.score"), F.lit(0.0)) > 0
+    return joined.select(
+        *carried, F.when(matched, F.col("top.score")).otherwise(F.lit(0.0)).alias("score"),
+        F.when(matched, -F.col("top.before")).otherwise(index.first.scalar()).alias("position"))
 
 
 def with_closest(scored: DataFrame, existing: DataFrame, position: str, label: str, key: str) -> DataFrame:
@@ -122,46 +159,63 @@ def duplicates(new: DataFrame, existing: DataFrame, key: str, text, existing_tex
         (rounded >= threshold).alias("is_duplicate"))
 
 
-def _score_in_place(texts, table, carried, stop_words):
-    shared = texts.sparkSession.sparkContext.broadcast(_pack(table, stop_words))
-    kept = texts.select(*carried)
+def _weighted_texts(texts, index, carried, stop_words):
+    """__row, the columns carried, prefix and tail (arrays of code and w), and beyond: what the tail adds to a score at most."""
+    # The vocabulary has at most max_features rows.
+    shared = texts.sparkSession.sparkContext.broadcast(_pack(index.vocabulary.collect(), stop_words))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        packed = shared.value
+        packed, row = shared.value, TaskContext.get().partitionId() << 33
         for batch in batches:
+            n = batch.num_rows
             rows, codes, weights = _vectors(batch.column(batch.num_columns - 1), packed)
-            best, at = _best(batch.num_rows, rows, codes, weights, packed)
-            positions = packed["positions"][at] if len(packed["positions"]) else at
-            columns = [*batch.columns[:-1], pa.array(best), pa.array(positions, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*carried, "score", "position"])
+            most = weights * packed["top"][codes]
+            order = np.lexsort((codes, -most, rows))
+            rows, codes, weights, most = rows[order], codes[order], weights[order], most[order]
+            starts = np.searchsorted(rows, np.arange(n + 1))
+            # a text reaches the sum of what its terms add to one row that is the best of some of them
+            cells, at = np.unique(rows * len(packed["top"]) + packed["at"][codes], return_inverse=True)
+            least = np.zeros(n)
+            np.maximum.at(least, cells // max(len(packed["top"]), 1), np.bincount(at, most, minlength=len(cells)))
+            back = np.r_[np.cumsum(most[::-1])[::-1], 0.0]
+            rest = back[:-1] - back[starts[1:]][rows]
+            in_prefix = rest >= least[rows] - MARGIN
+            cut = np.bincount(rows[in_prefix], minlength=n)
+            beyond = np.zeros(n)
+            tails = np.flatnonzero(starts[:-1] + cut < starts[1:])
+            beyond[tails] = rest[(starts[:-1] + cut)[tails]]
+            lists = []
+            for part in (in_prefix, ~in_prefix):
+                ends = np.r_[0, np.cumsum(part)][starts].astype(np.int32)
+                entries = pa.StructArray.from_arrays([pa.array(codes[part].astype(np.int32)), pa.array(weights[part])], ["code", "w"])
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), entries))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), *batch.columns[:-1], *lists, pa.array(beyond)],
+                                             ["__row", *carried, "prefix", "tail", "beyond"])
+            row += n
 
     # Stop words are dropped by the workers, whose lookup passes over every word anyway.
     worded = texts.select(*carried, words_of("__text", ()).alias("words"))
-    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("position", T.LongType())])
+    entries = T._parse_datatype_string("array<struct<code:int,w:double>>")
+    schema = T.StructType([T.StructField("__row", T.LongType()), *texts.select(*carried).schema.fields,
+                           T.StructField("prefix", entries), T.StructField("tail", entries), T.StructField("beyond", T.DoubleType())])
     return worded.mapInArrow(run, schema)
 
 
-def _pack(table, stop_words=()):
-    """Posting rows as arrays sorted by term: an inverted index over dense row numbers.
-
-    Terms are also split into words, so that texts are looked up word by word and a pair of
-    words is a pair of numbers.
-    """
+def _pack(vocabulary, stop_words=()):
+    """The vocabulary as arrays by code. Terms are also split into words, so that texts are looked up word by word
+    and a pair of words is a pair of numbers."""
     import numpy as np
     import pyarrow as pa
 
-    terms = table.column("term").combine_chunks().dictionary_encode()
-    code = terms.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    idf = np.zeros(len(terms.dictionary))
-    idf[code] = table.column("idf").to_numpy()
-    positions, row = np.unique(table.column("position").to_numpy(), return_inverse=True)
-    order = np.lexsort((row, code))
-    starts = np.zeros(len(idf) + 1, np.int64)
-    np.cumsum(np.bincount(code, minlength=len(idf)), out=starts[1:])
-
-    parts = [term.split(" ") for term in terms.dictionary.to_pylist()]
+    size = len(vocabulary)
+    idf, top, at, parts, places = np.zeros(size), np.zeros(size), np.zeros(size, np.int64), [[]] * size, {}
+    for code, term, weight, most, position in vocabulary:
+        idf[code], top[code], parts[code] = weight, most, term.split(" ")
+        at[code] = places.setdefault(position, len(places))  # a number below the size of the vocabulary
     words = sorted({word for part in parts for word in part})
     number = {word: n for n, word in enumerate(words)}
     single = np.full(len(words) + 1, -1, np.int64)
@@ -173,10 +227,8 @@ def _pack(table, stop_words=()):
             pairs[number[part[0]] * len(words) + number[part[1]]] = n
     pair_keys = np.array(sorted(pairs), np.int64)
     pair_codes = np.array([pairs[k] for k in pair_keys.tolist()], np.int64)
-    return {"terms": terms.dictionary.cast("string"), "idf": idf, "positions": positions.astype(np.int64),
-            "starts": starts, "row": row[order], "weight": table.column("weight").to_numpy()[order],
-            "words": pa.array([*words, *stop_words], pa.string()), "n_words": len(words), "single": single,
-            "pair_keys": pair_keys, "pair_codes": pair_codes}
+    return {"idf": idf, "top": top, "at": at, "words": pa.array([*words, *stop_words], pa.string()), "n_words": len(words),
+            "single": single, "pair_keys": pair_keys, "pair_codes": pair_codes}
 
 
 def _vectors(word_lists, packed):
@@ -208,164 +260,6 @@ def _vectors(word_lists, packed):
     return rows, codes, weights / length[rows]
 
 
-def _best(n, rows, codes, weights, packed):
-    """Best score and dense number of the existing row for each of ``n`` rows."""
-    import numpy as np
-
-    best, at = np.zeros(n), np.zeros(n, np.int64)
-    width = len(packed["positions"])
-    if not width or not len(rows):
-        return best, at
-    starts = packed["starts"]
-    hits = starts[codes + 1] - starts[codes]
-    bounds = np.searchsorted(rows, np.arange(n + 1))
-    work = np.concatenate(([0], np.cumsum(hits)))[bounds]
-    low = 0
-    while low < n:
-        # As many rows as fit: a dense score row each, and the postings they walk.
-        high = min(n, low + max(1, 2_000_000 // width))
-        high = max(low + 1, min(high, int(np.searchsorted(work, work[low] + 4_000_000, "right")) - 1))
-        part = slice(bounds[low], bounds[high])
-        count = hits[part]
-        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        posting = np.repeat(starts[codes[part]], count) + within
-        cell = np.repeat(rows[part] - low, count) * width + packed["row"][posting]
-        value = np.repeat(weights[part], count) * packed["weight"][posting]
-        scores = np.round(np.bincount(cell, value, minlength=(high - low) * width), TIE_DECIMALS)
-        scores = scores.reshape(high - low, width)
-        at[low:high] = scores.argmax(axis=1)
-        best[low:high] = scores.max(axis=1)
-        low = high
-    return best, at
-
-
-def _score_in_blocks(texts, postings, key, keep, stop_words, n_blocks, block_items):
-    worded = with_terms(texts.select(key, "__text"), "__text", stop_words).select(key, "terms")
-    n_slices = max(1, -(-texts.select(key).count() // block_items))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    # A block holds whole rows, so that a score is complete within one block.
-    right = postings.select(
-        "position", "term", "idf", "weight", F.pmod(F.xxhash64("position"), F.lit(n_blocks)).cast("int").alias("block"),
-        every(n_slices).alias("slice"))
-    # Terms shrink to known words first; the vocabulary has at most MAX_FEATURES rows.
-    vocabulary = postings.select("term", "idf").distinct()
-    known = worded.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = known.join(F.broadcast(vocabulary), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    vectors = known.groupBy(key).agg(F.collect_list(F.struct("term", "w")).alias("vector"))
-    left = vectors.select(
-        key, F.col("vector.term").alias("terms"), F.col("vector.w").alias("weights"),
-        F.pmod(F.xxhash64(key), F.lit(n_slices)).cast("int").alias("slice"), every(n_blocks).alias("block"))
-    id_field = worded.select(key).schema.fields[0]
-
-    def run(new, old):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        packed = _pack(old)
-        lists = new.column("terms").combine_chunks()
-        weights = new.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(lengths)), lengths)
-        length = np.sqrt(np.bincount(rows, weights * weights, minlength=len(lengths)))
-        codes = pc.index_in(pc.cast(lists.flatten(), "string"), value_set=packed["terms"])
-        codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        found = codes >= 0
-        best, at = _best(len(lengths), rows[found], codes[found], (weights / length[rows])[found], packed)
-        positions = packed["positions"][at] if len(packed["positions"]) else at
-        return pa.table({key: new.column(key), "score": best, "position": pa.array(positions, pa.int64())})
-
-    schema = f"`{key}` {id_field.dataType.simpleString()}, score double, position long"
-    partial = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(run, schema)
-    top = partial.groupBy(key).agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
-    top = top.select(key, F.col("top.score").alias("score"), (-F.col("top.before")).alias("position"))
-    return texts.select(key, *keep).join(top, key, "left")
-
-
-def nearest_vectors(new: DataFrame, existing: DataFrame, key: str, vector: str, position: str,
-                    max_broadcast: int = MAX_BROADCAST_WEIGHTS, block_numbers: int = BLOCK_WEIGHTS,
-                    block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Best cosine similarity of embeddings per new row: (key, score, position of the closest).
-
-    The width is that of most existing vectors, of the larger one in a tie. Rows of another width, or with
-    missing components, count as rows without a vector; new ones are not returned.
-    """
-    whole = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull())
-    left = new.select(F.col(key), F.col(vector).cast("array<double>").alias("v")).filter(whole)
-    right = existing.select(F.col(position).cast("long").alias("position"), F.col(vector).cast("array<double>").alias("v"))
-    right = right.filter(whole)
-    widths = right.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"))
-    n_old, width = widths.agg(F.max(F.struct("n", "width")).alias("top")).select("top.n", "top.width").first()
-    if not n_old:
-        return left.select(key, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("position"))
-    left, right = left.filter(F.size("v") == width), right.filter(F.size("v") == width)
-    schema = f"`{key}` {new.schema[key].dataType.simpleString()}, score double, position long"
-    if n_old * width <= max_broadcast:
-        shared = new.sparkSession.sparkContext.broadcast(_pack_vectors(right.toArrow()))
-
-        def run(batches):
-            for batch in batches:
-                yield from _best_vectors(batch, key, shared.value).to_batches()
-
-        return left.mapInArrow(run, schema)
-    n_slices = max(1, -(-left.count() // block_items))
-    n_blocks = -(-n_old // max(1, block_numbers // width))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    # Rows meet again by a number of their own: keys may repeat or be null.
-    numbered = written(left.withColumn("__row", F.monotonically_increasing_id()), "vectors")
-    left = numbered.select("__row", "v", F.pmod(F.xxhash64("__row"), F.lit(n_slices)).cast("int").alias("slice"), every(n_blocks).alias("block"))
-    right = right.select("position", "v", F.pmod(F.xxhash64("position"), F.lit(n_blocks)).cast("int").alias("block"),
-                         every(n_slices).alias("slice"))
-
-    def run_block(some, others):
-        if not others.num_rows:
-            return _best_vectors(some.slice(0, 0), "__row", None)
-        return _best_vectors(some, "__row", _pack_vectors(others))
-
-    block_schema = "__row long, score double, position long"
-    partial = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(run_block, block_schema)
-    top = partial.groupBy("__row").agg(F.max(F.struct("score", (-F.col("position")).alias("before"))).alias("top"))
-    return numbered.select(key, "__row").join(top, "__row").select(
-        key, F.col("top.score").alias("score"), (-F.col("top.before")).alias("position"))
-
-
-def _matrix(column):
-    """Rows of equal length as a matrix of unit-length rows."""
-    import numpy as np
-    import pyarrow as pa
-
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
-    length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-
-
-def _pack_vectors(table):
-    import numpy as np
-
-    positions = table.column("position").to_numpy()
-    order = np.argsort(positions, kind="stable")
-    return {"positions": positions[order].astype(np.int64), "matrix": _matrix(table.column("v"))[order]}
-
-
-def _best_vectors(rows, key, packed):
-    import numpy as np
-    import pyarrow as pa
-
-    n = rows.num_rows
-    best, at = np.zeros(n), np.zeros(n, np.int64)
-    if n:
-        matrix, others = _matrix(rows.column("v")), packed["matrix"]
-        step = max(1, 2_000_000 // len(others))
-        for low in range(0, n, step):
-            scores = np.round(matrix[low:low + step] @ others.T, TIE_DECIMALS)
-            at[low:low + step] = scores.argmax(axis=1)
-            best[low:low + step] = scores.max(axis=1)
-    positions = packed["positions"][at] if n else at
-    return pa.table({key: rows.column(key), "score": best, "position": pa.array(positions, pa.int64())})
-
-
 def second_pass(scored: DataFrame, semantic: DataFrame, key: str, threshold: float = DUPLICATE_THRESHOLD) -> DataFrame:
     """Raise scores below the threshold to the embedding score where that is higher.
 

@@ -71,12 +71,12 @@ def conversions(responses: DataFrame, at, contributor: str) -> DataFrame:
 def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataFrame, catalog: DataFrame, at,
         contributor: str = "ingest", max_items=None, threshold: float = similarity.DUPLICATE_THRESHOLD,
         dry_run: bool = False, convert: bool = True, auto_promote: bool = True,
-        promote_below: float = AUTO_PROMOTE_BELOW, scoring=None) -> DataFrame:
+        promote_below: float = AUTO_PROMOTE_BELOW) -> DataFrame:
     """Outcome of every item.
 
     ``items``: source_id, ord (unique), title, body, content_hash. ``seen``: source_id,
     content_hash. ``existing``: position, scenario, text. ``responses``: ord, response,
-    retry_response. ``catalog``: id. ``scoring``: options of ``similarity.score``.
+    retry_response. ``catalog``: id.
     """
     keys = items.select("ord", "source_id", "content_hash")
     admitted = first_items(keys, max_items)
@@ -84,7 +84,7 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
     fresh = written(fresh_items(admitted, seen, dry_run), "fresh")
     index = similarity.fit(existing, "text", "position")
     title_body = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
-    scores = similarity.score(items.join(fresh, "ord", "left_semi"), index, "ord", title_body, **(scoring or {}))
+    scores = similarity.score(items.join(fresh, "ord", "left_semi"), index, "ord", title_body)
     scored = written(scores.select("ord", F.round("score", 4).alias("score"), "position"), "scores")
     is_duplicate = F.col("score") >= threshold
 

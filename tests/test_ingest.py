@@ -108,11 +108,6 @@ def test_only_finished_items_are_remembered(inputs):
     assert every.count() == 11
 
 
-def test_large_catalogue_gives_the_same_outcomes(inputs):
-    blocks = {"max_broadcast": 1, "block_weights": 3, "block_items": 2}
-    assert {r.ord: r.outcome for r in outcomes(inputs, scoring=blocks).collect()} == EXPECTED
-
-
 def test_items_from_whole_texts(spark):
     rows = spark.createDataFrame([("s", 1, "Title\nbody\nmore"), ("s", 2, "only a title"), ("s", 3, "")], "src string, n long, t string")
     items = ingest.raw_items(rows, "src", "n", "t").orderBy("ord").collect()

@@ -60,7 +60,7 @@ def run(spark, new, old, **options):
     return {r.key: (r.score, r.position) for r in similarity.score(items, index, "key", "text", **options).collect()}
 
 
-@pytest.mark.parametrize("max_features", [5000, 50])
+@pytest.mark.parametrize("max_features", [5000, 50, 7])
 def test_scores_equal_the_formula(spark, texts, max_features):
     new, old = texts
     expected = plain_scores(new, old, max_features)
@@ -72,18 +72,33 @@ def test_scores_equal_the_formula(spark, texts, max_features):
     assert found[60][0] == pytest.approx(1.0) and found[61] == found[62] == found[63] == (0.0, 0)
 
 
-@pytest.mark.parametrize("block_weights,block_items", [(50, 7), (100_000, 1000)])
-def test_blocks_give_the_same_result(spark, texts, block_weights, block_items):
-    new, old = texts
-    whole = run(spark, new, old)
-    cut = run(spark, new, old, max_broadcast=10, block_weights=block_weights, block_items=block_items)
-    assert cut == whole
+def test_near_copies_among_many(spark):
+    """Long texts that share much with one entry, hot terms in all of them, ties among copies of an entry."""
+    rng = random.Random(11)
+    rare = [f"r{n}" for n in range(400)]
+    old = [(n, " ".join(["hot"] * rng.randint(0, 3) + rng.sample(rare, 12))) for n in range(150)]
+    old += [(1000 + n, old[7][1]) for n in range(20)]
+    new = [(n, " ".join(rng.sample(rare, 5)) + " hot " + old[n][1]) for n in range(100)] + [(500 + n, "hot") for n in range(50)]
+    expected, found = plain_scores(new, old, 5000), run(spark, new, old)
+    for key, (score, position) in expected.items():
+        assert found[key] == (pytest.approx(score, abs=1e-8), position)
+
+
+def test_counts_grow_by_appending(spark, texts):
+    _, old = texts
+    frame = lambda rows: spark.createDataFrame(rows, "position long, text string")
+    parts = [similarity.counted(frame(rows), "text", "position") for rows in (old[:9], old[9:10], old[10:])]
+    rows = lambda index: sorted(tuple(r) for r in index.postings.collect())
+    whole = similarity.fit(frame(old), "text", "position", 40)
+    grown = similarity.weighed(similarity.merged(*parts), 40)
+    assert rows(grown) == rows(whole)
+    assert sorted(map(tuple, grown.vocabulary.collect())) == sorted(map(tuple, whole.vocabulary.collect()))
+    assert grown.first.scalar() is not None and spark.range(1).select(grown.first.scalar()).first()[0] == old[0][0]
 
 
 def test_first_existing_row_wins_a_tie(spark):
     old = [(5, "alpha beta"), (3, "alpha beta"), (9, "gamma")]
     assert run(spark, [(1, "alpha beta")], old)[1] == (pytest.approx(1.0), 3)
-    assert run(spark, [(1, "alpha beta")], old, max_broadcast=1)[1] == (pytest.approx(1.0), 3)
 
 
 def test_nothing_to_compare_to(spark):
@@ -97,9 +112,8 @@ def test_columns_are_carried_along(spark):
     existing = spark.createDataFrame([(1, "alpha")], "position long, text string")
     items = spark.createDataFrame([(1, "alpha", "src", 1.5)], "key long, text string, source string, n double")
     index = similarity.fit(existing, "text", "position")
-    for bound in (100, 0):
-        row = similarity.score(items, index, "key", "text", keep=("source", "n"), max_broadcast=bound).first()
-        assert row.asDict() == {"key": 1, "source": "src", "n": 1.5, "score": 1.0, "position": 1}
+    row = similarity.score(items, index, "key", "text", keep=("source", "n")).first()
+    assert row.asDict() == {"key": 1, "source": "src", "n": 1.5, "score": 1.0, "position": 1}
 
 
 def test_scoring_does_not_shuffle_texts(spark, texts):
@@ -107,22 +121,19 @@ def test_scoring_does_not_shuffle_texts(spark, texts):
     existing = spark.createDataFrame(old, "position long, text string")
     items = spark.createDataFrame(new, "key long, text string")
     scored = similarity.score(items, similarity.fit(existing, "text", "position"), "key", "text")
-    plan = scored._jdf.queryExecution().executedPlan().toString()
-    outer = plan[plan.index("MapInArrow"):]
-    assert "Exchange" not in outer and "Join" not in plan.split("Subquery")[0]
+    assert "__text" not in scored._jdf.queryExecution().toString()  # texts became weights where they lay
 
 
-@pytest.mark.parametrize("bound", [100_000, 1])
-def test_repeated_and_null_keys(spark, bound):
+def test_repeated_and_null_keys(spark):
     existing = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta epsilon")], "position long, text string")
     items = spark.createDataFrame([(1, "alpha beta"), (1, "delta"), (None, "gamma"), (None, None)], "key long, text string")
     index = similarity.fit(existing, "text", "position")
-    rows = similarity.score(items, index, "key", "text", keep=("text",), max_broadcast=bound, block_weights=2, block_items=2).collect()
+    rows = similarity.score(items, index, "key", "text", keep=("text",)).collect()
     got = sorted((repr(r.key), r.text or "", r.score > 0, r.position) for r in rows)
     assert got == [("1", "alpha beta", True, 1), ("1", "delta", True, 2), ("None", "", False, 1), ("None", "gamma", True, 1)]
 
 
-@pytest.mark.parametrize("options", [{}, {"max_broadcast": 1, "block_numbers": 2, "block_items": 1}])
+@pytest.mark.parametrize("options", [{}, {"pivots": 1, "ring_rows": 1, "slice_rows": 1}])
 def test_vectors_of_other_widths_and_repeated_keys(spark, options):
     old = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0, 1.0]), (4, [None, 1.0])], "position long, v array<float>")
     new = spark.createDataFrame([(7, [1.0, 0.1]), (7, [0.1, 1.0]), (None, [0.0, 2.0]), (8, [1.0]), (9, None)], "key long, v array<float>")
@@ -141,7 +152,7 @@ def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / length if length else 0.0
 
 
-@pytest.mark.parametrize("options", [{}, {"max_broadcast": 8, "block_numbers": 12, "block_items": 5}])
+@pytest.mark.parametrize("options", [{}, {"pivots": 3, "ring_rows": 2, "slice_rows": 3}])
 def test_nearest_vectors(spark, options):
     rng = random.Random(3)
     vector = lambda: [rng.uniform(-1, 1) for _ in range(4)]
@@ -157,6 +168,30 @@ def test_nearest_vectors(spark, options):
     assert found.count() == 32
 
 
+@pytest.mark.parametrize("options", [{}, {"pivots": 4, "ring_rows": 8, "slice_rows": 10}])
+def test_clustered_vectors_against_all_pairs(spark, options):
+    rng = random.Random(13)
+    centres = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(8)]
+    near = lambda c: [x + rng.gauss(0, 0.05) for x in c]
+    old = [(n, near(centres[n % 8])) for n in range(200)] + [(300 + n, [2 * x for x in centres[0]]) for n in range(30)]
+    old += [(250, [0.0] * 6), (240, [0.0] * 6), (9, None), (8_000, [float("nan")] * 6), (8_001, [1.0])]
+    new = [(n, near(centres[n % 8])) for n in range(80)] + [(90, centres[0]), (91, [0.0] * 6), (92, [-x for x in centres[1]]), (93, None)]
+    got = similarity.nearest_vectors(
+        spark.createDataFrame(new, "key long, v array<double>"), spark.createDataFrame(old, "position long, v array<double>"),
+        "key", "v", "position", **options).collect()
+    usable = [(p, v) for p, v in old if v and len(v) == 6 and not any(math.isnan(x) for x in v)]
+    want = {k: max((round(cosine(v, w), 9), -p) for p, w in usable) for k, v in new if v}
+    assert {r.key: (round(r.score, 9), -r.position) for r in got} == want
+
+
+def test_vectors_of_length_zero_only(spark):
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} long, v array<double>")
+    got = similarity.nearest_vectors(frame([(1, [1.0, 2.0])], "key"), frame([(5, [0.0, 0.0]), (4, [0.0, 0.0])], "position"), "key", "v", "position")
+    assert [tuple(r) for r in got.collect()] == [(1, 0.0, 4)]
+    got = similarity.nearest_vectors(frame([(1, [1.0, 2.0])], "key"), frame([(5, None)], "position"), "key", "v", "position")
+    assert [tuple(r) for r in got.collect()] == [(1, None, None)]
+
+
 def test_second_pass_only_raises_low_scores(spark):
     scored = spark.createDataFrame([(1, 0.8, 1), (2, 0.2, 1), (3, 0.2, 1), (4, 0.2, 1)], "key long, score double, position long")
     semantic = spark.createDataFrame([(1, 0.9, 7), (2, 0.9, 7), (3, 0.1, 7)], "key long, score double, position long")
