@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from advisorium import model
 from advisorium.functions import text
-from advisorium.operators.spread import keep_first, spread_lookup
+from advisorium.operators.spread import keep_first, key_counts, spread_lookup
+from advisorium.sources.scratch import written
 
 
 def unnest(df: DataFrame, column: str, alias: str, *keep: str) -> DataFrame:
@@ -33,8 +34,9 @@ def unseen(items: DataFrame, seen: DataFrame) -> DataFrame:
     """
     keys = ["source_id", "content_hash"]
     # Not a semi join: that would be pushed below the distinct, to all copies of a hot pair.
-    known = items.select(*keys).distinct().join(seen.select(*keys).distinct(), keys)
-    marked = spread_lookup(items, known.withColumn("__known", F.lit(True)), keys, ["ord"])
+    counts = written(key_counts(items, keys), "counts")
+    known = counts.select(*keys).join(seen.select(*keys).distinct(), keys)
+    marked = spread_lookup(items, known.withColumn("__known", F.lit(True)), keys, ["ord"], counts=counts)
     return marked.filter(F.col("__known").isNull()).drop("__known")
 
 

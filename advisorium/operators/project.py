@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from advisorium import model
 from advisorium.functions import text
-from advisorium.operators.spread import bounded_parts
+from advisorium.operators.spread import placed
 
 
 def flatten(entries: DataFrame, extra: bool = False) -> DataFrame:
@@ -96,17 +96,15 @@ def context_block() -> Column:
     )
 
 
-def service_contexts(df: DataFrame, preamble: str = "", max_blocks: int = 1000) -> DataFrame:
-    """All blocks of a service as one text, in parts of about ``max_blocks`` blocks.
+def service_contexts(df: DataFrame, preamble: str = "") -> DataFrame:
+    """The context of each service as ordered blocks: service_name, position, offset, block.
 
-    A service of up to ``max_blocks`` entries is one text; a larger one is split, because
-    neither a task nor a prompt can hold a service of unlimited size.
+    The context of a service is the preamble and then its blocks by id; ``offset`` is the character at which a block
+    begins. A service of any size is a set of rows, of which a reader takes what a prompt can hold.
     """
     blocks = df.select("id", "service_name", context_block().alias("block"))
-    parts = bounded_parts(blocks, "service_name", "id", max_blocks)
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "block"))), lambda b: b["block"]), "")
-    return parts.groupBy("service_name", "part").agg(
-        F.count(F.lit(1)).alias("blocks"), F.concat(F.lit(preamble), joined).alias("context"))
+    found = placed(blocks, "service_name", ["id", F.xxhash64("block")], F.length("block"))
+    return found.select("service_name", "position", (F.col("offset") + len(preamble)).alias("offset"), "block")
 
 
 def question_answers(df: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def with_closest(scored: DataFrame, existing: DataFrame, position: str, label: s
 def duplicates(new: DataFrame, existing: DataFrame, key: str, text, existing_text, position: str, label: str,
                threshold: float = DUPLICATE_THRESHOLD, **options) -> DataFrame:
     """Score (four places), closest label and duplicate flag of every new row."""
-    best = score(new, fit(existing, existing_text, position), key, text, **options)
+    best = written(score(new, fit(existing, existing_text, position), key, text, **options), "scores")  # read twice
     labelled = with_closest(best, existing, position, label, key)
     rounded = F.round("score", 4)
     return labelled.select(

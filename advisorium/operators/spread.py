@@ -7,7 +7,9 @@ rows after an executor is lost) and put the sections together again once they ar
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_SECTION, _RANK = "__section", "__rank"
+from advisorium.sources.scratch import written
+
+_SECTION, _RANK, _COPIES, _PART, _SIZE = "__section", "__rank", "__copies", "__part", "__size"
 
 
 def first_n_per_group(df: DataFrame, keys, order, n, spread_by) -> DataFrame:
@@ -37,28 +39,51 @@ def _cut(df, keys, order, n):
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) <= n).drop(_RANK)
 
 
-def spread_lookup(rows: DataFrame, lookup: DataFrame, keys, spread_by, how="left", copies=16) -> DataFrame:
+def key_counts(rows: DataFrame, keys) -> DataFrame:
+    """Rows of every key: the keys and ``n``."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def spread_lookup(rows: DataFrame, lookup: DataFrame, keys, spread_by, how="left", rows_per_copy=1_000_000, counts=None) -> DataFrame:
     """Join many rows to a table with few rows per key, usually one.
 
-    The lookup side is repeated ``copies`` times and the rows of one key are dealt over the
-    copies, so the rows of a hot key are processed by ``copies`` tasks. Neither side is assumed
-    to fit in memory.
+    The rows of each key are counted first (``counts``: ``key_counts`` where the caller has them; else ``rows`` is read once
+    more for its keys). The lookup rows of a key are copied once for every ``rows_per_copy`` of its rows, and those are dealt
+    over the copies: a key with a large share of the rows gets as many tasks as that takes, and the lookup rows of other
+    keys stay as they are. Rows with a null key find nothing and are dealt by ``spread_by`` alone. Neither side is assumed to
+    fit in memory.
     """
-    dealt = rows.withColumn(_SECTION, F.pmod(F.xxhash64(*spread_by), F.lit(copies)).cast("int"))
-    repeated = lookup.withColumn(_SECTION, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    counts = key_counts(rows, keys) if counts is None else counts
+    copies = F.ceil(F.col("n") / F.lit(rows_per_copy)).cast("int").alias(_COPIES)
+    hot = counts.select(*keys, copies).filter(F.col(_COPIES) > 1)  # a key needs over rows_per_copy rows to be here
+    none = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    parts = F.when(none, 64).otherwise(F.coalesce(F.col(_COPIES), F.lit(1)))
+    dealt = rows.join(hot, list(keys), "left").withColumn(_SECTION, F.pmod(F.xxhash64(*spread_by), parts).cast("int")).drop(_COPIES)
+    every = F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1)
+    repeated = lookup.join(hot, list(keys), "left").withColumn(_SECTION, F.explode(every)).drop(_COPIES)
     return dealt.join(repeated, [*keys, _SECTION], how).drop(_SECTION)
 
 
-def bounded_parts(df: DataFrame, key: str, id_col: str, max_rows: int) -> DataFrame:
-    """Add ``part``: which of ceil(rows / max_rows) even parts of its key a row belongs to.
+def placed(df: DataFrame, key: str, order, size=None) -> DataFrame:
+    """Add ``position``: the place of a row among those of its key in ``order``, from 0; with ``size`` (a column) also ``offset``:
+    the sum of the sizes before it.
 
-    Small keys have the single part 0. The part follows from the id alone, so it is stable
-    between runs over the same rows.
+    ``order`` must be a total order. The rows are cut into ranges of (key, order), so a key of any size is spread over
+    tasks; counts and sums inside each range are put together by a prefix sum over the ranges of a key.
     """
-    df = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
-    sizes = df.groupBy("__key").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_rows)).alias("__parts"))
-    digits = F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 8), 16, 10)
-    # Adaptive execution broadcasts the sizes where they are small, and splits a hot key where not.
-    sized = df.join(sizes, "__key")
-    part = F.pmod(digits.cast("long"), F.col("__parts")).cast("int")
-    return sized.withColumn("part", part).drop("__parts", "__key")
+    ranged = df.repartitionByRange(key, *order).withColumn(_PART, F.spark_partition_id())
+    ranged = written(ranged if size is None else ranged.withColumn(_SIZE, size.cast("long")), "ranges")
+    inside = Window.partitionBy(_PART, key).orderBy(*order)  # a part of a key: as large as a range at most
+    sums = ranged.groupBy(_PART, key).agg(F.count(F.lit(1)).alias("__n"), *([] if size is None else [F.sum(_SIZE).alias("__sum")]))
+    earlier = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    starts = sums.select(F.col(_PART), F.col(key).alias("__key"), before("__n").alias("__rows"),
+                         *([] if size is None else [before("__sum").alias("__offset")]))
+    numbered = ranged.withColumn("position", F.row_number().over(inside) - 1)
+    if size is not None:
+        numbered = numbered.withColumn("offset", F.sum(_SIZE).over(inside) - F.col(_SIZE))
+    same = (numbered[_PART] == starts[_PART]) & numbered[key].eqNullSafe(starts["__key"])
+    joined = numbered.join(starts, same).drop(starts[_PART]).withColumn("position", F.col("position") + F.col("__rows"))
+    if size is not None:
+        joined = joined.withColumn("offset", F.col("offset") + F.col("__offset"))
+    return joined.drop(_PART, _SIZE, "__key", "__rows", "__offset")

@@ -1,13 +1,13 @@
 """Writers. Partitioned tables are rebalanced first, so a hot key becomes several files of
 bounded size instead of one task's work, and small keys share tasks."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from advisorium.functions import text
 from advisorium.operators import quality
 from advisorium.operators.project import as_json, flatten
 from advisorium.operators.ranking import MAX_RUNS, last_runs
-from advisorium.operators.spread import bounded_parts
+from advisorium.operators.spread import placed
 
 
 class RepeatedIds(ValueError):
@@ -41,18 +41,32 @@ def service_counts(df: DataFrame) -> DataFrame:
     return keyed_by_service(df).groupBy("service_key").agg(F.count(F.lit(1)).alias("count"))
 
 
-def service_envelopes(df: DataFrame, max_entries: int = 10_000) -> DataFrame:
-    """Service envelopes (service, part, count, misconfigurations) for JSON export.
+def envelope_entries(df: DataFrame) -> DataFrame:
+    """The entries of all service envelopes: service, position (from 0, by id), entry.
 
-    A service of up to ``max_entries`` is one envelope, a larger one several parts, since one
-    row cannot hold a service of any size. Entries are ordered by id.
+    With ``service_counts`` this is the content of the envelopes, whatever the size of a service: a row per entry, in an
+    order that several tasks can write and one reader can follow.
     """
-    parts = bounded_parts(df, "service_name", "id", max_entries)
     entry = F.struct("id", *[c for c in df.columns if c != "id"])
-    by_id = lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)
-    held = F.array_sort(F.collect_list(entry), by_id)
-    return parts.groupBy(F.col("service_name").alias("service"), "part").agg(
-        F.count(F.lit(1)).alias("count"), held.alias("misconfigurations"))
+    rows = df.select(F.col("service_name").alias("service"), "id", entry.alias("entry"))
+    return placed(rows, "service", ["id", F.xxhash64("entry")]).select("service", "position", "entry")
+
+
+def write_envelopes(df: DataFrame, path: str) -> None:
+    """Envelopes for JSON export: ``entries`` (a folder per service, files of ordered JSON lines) and ``headers`` (service, count)."""
+    entries = envelope_entries(df).withColumn("service_key", text.storage_key("service"))
+    ranged = entries.repartitionByRange("service_key", "position").sortWithinPartitions("service_key", "position")
+    ranged.write.mode("overwrite").partitionBy("service_key").json(f"{path}/entries")
+    headers = df.groupBy(F.col("service_name").alias("service")).agg(F.count(F.lit(1)).alias("count"))
+    headers.withColumn("service_key", text.storage_key("service")).write.mode("overwrite").json(f"{path}/headers")
+
+
+def read_envelope(spark, path: str, service: str, entry_type) -> DataFrame:
+    """position and entry of one written envelope, in order; only the files of that service are read."""
+    rows = spark.read.schema(T.StructType([T.StructField("service", T.StringType()), T.StructField("position", T.LongType()),
+                                           T.StructField("entry", entry_type), T.StructField("service_key", T.StringType())]))
+    found = rows.json(f"{path}/entries").filter((F.col("service_key") == text.storage_key(F.lit(service))) & (F.col("service") == service))
+    return found.select("position", "entry").orderBy("position")
 
 
 def category_rows(df: DataFrame) -> DataFrame:

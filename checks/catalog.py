@@ -26,11 +26,14 @@ simple("s3_single_service", "SELECT id, scenario, risk_detail FROM recs WHERE se
        lambda df: filters.in_services(df, "de").select("id", "scenario", "risk_detail"))
 simple("k2_service_counts", "SELECT service_name AS service_key, count(*) AS count FROM recs GROUP BY 1",
        writers.service_counts)
-simple("k2_service_envelopes", """, b AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY service_name) / 100.0) AS BIGINT) AS parts FROM recs)
-SELECT service_name AS service, CAST(CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % parts AS INT) AS part,
-       count(*) AS count, string_agg(id, ',' ORDER BY id) AS ids FROM b GROUP BY 1, 2""",
-       lambda df: writers.service_envelopes(df.select("id", "service_name"), 100).select(
-           "service", "part", "count", F.array_join("misconfigurations.id", ",").alias("ids")))
+simple("k2_service_envelopes", """SELECT service_name AS service, row_number() OVER (PARTITION BY service_name ORDER BY id) - 1 AS position,
+       count(*) OVER (PARTITION BY service_name) AS count, id, scenario, alert_criteria, recommendation_action,
+       recommendation_description_detailed, risk_detail, build_priority, effort_level, action_value, risk_value, category FROM recs""",
+       lambda df: writers.envelope_entries(df).join(
+           df.groupBy(F.col("service_name").alias("service")).agg(F.count(F.lit(1)).alias("count")), "service").select(
+           "service", "position", "count", "entry.id", "entry.scenario", "entry.alert_criteria", "entry.recommendation_action",
+           "entry.recommendation_description_detailed", "entry.risk_detail", "entry.build_priority", "entry.effort_level",
+           "entry.action_value", "entry.risk_value", "entry.category"))
 _GROUPS = """, g AS (SELECT DISTINCT id, name FROM (SELECT id, category AS name FROM recs UNION ALL
  SELECT id, trim(unnest(string_split(risk_detail, ','))) FROM recs) t WHERE name IS NOT NULL AND name <> '')
 """
@@ -86,10 +89,10 @@ _BLOCK = """'**' || upper(service_name) || '**: ' || scenario || chr(10) || 'Act
  || 'Risk: ' || risk_detail || chr(10) || chr(10)"""
 simple("p7_context_blocks", f"SELECT id, {_BLOCK} AS block FROM recs WHERE service_name IN ('en', 'fr') AND build_priority <= 1",
        lambda df: filters.priority_at_most(filters.in_services(df, "en", "fr"), 1).select("id", project.context_block().alias("block")))
-simple("p7_service_contexts", f""", b AS (SELECT id, service_name, {_BLOCK} AS block,
- CAST(ceil(count(*) OVER (PARTITION BY service_name) / 1000.0) AS BIGINT) AS parts FROM recs)
-SELECT service_name, CAST(CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % parts AS INT) AS part, count(*) AS blocks,
- 'Use these:' || string_agg(block, '' ORDER BY id) AS context FROM b GROUP BY 1, 2""",
+simple("p7_service_contexts", f"""SELECT service_name, row_number() OVER w - 1 AS position, block,
+ CAST(10 + coalesce(sum(length(block)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset
+FROM (SELECT id, service_name, {_BLOCK} AS block FROM recs) b WINDOW w AS (PARTITION BY service_name ORDER BY id)""".replace(
+           "OVER (w ROWS", "OVER (PARTITION BY service_name ORDER BY id ROWS"),
        lambda df: project.service_contexts(df, "Use these:"))
 simple("p8_question_answers", """SELECT id AS conv_id, 0 AS turn, 'user' AS role,
  'I use ' || service_name || '. Are there any issues with: ' || scenario || '?' AS text FROM recs

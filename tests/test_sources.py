@@ -159,13 +159,28 @@ def test_partitioned_tables(spark, frame, tmp_path):
     assert sorted(map(tuple, groups)) == [("cost", "a"), ("security", "a"), ("security", "b"), ("storage", "a")]
 
 
-def test_envelopes_are_complete_whatever_the_part_size(frame):
-    rows = frame([recommendation(id=str(n)) for n in range(50)] + [recommendation(id="z", service_name="iam")], model.RECOMMENDATION)
-    whole = writers.service_envelopes(rows, 1000).collect()
-    assert sorted((r.service, r.part, r["count"]) for r in whole) == [("iam", 0, 1), ("s3", 0, 50)]
-    parts = writers.service_envelopes(rows, 10).filter("service = 's3'").collect()
-    assert len(parts) > 1 and sum(r["count"] for r in parts) == 50
-    assert sorted(e.id for r in parts for e in r.misconfigurations) == sorted(str(n) for n in range(50))
+def test_envelopes_are_ordered_rows_of_any_number(spark, frame, tmp_path):
+    rows = frame([recommendation(id=f"{n:03}") for n in range(50)] + [recommendation(id="z", service_name="iam"), recommendation(id="y", service_name=None)],
+                 model.RECOMMENDATION)
+    found = writers.envelope_entries(rows).collect()
+    assert sorted((r.service or "", r.position, r.entry.id) for r in found) == sorted(
+        [("iam", 0, "z"), ("", 0, "y"), *[("s3", n, f"{n:03}") for n in range(50)]])
+    writers.write_envelopes(rows.repartition(7), str(tmp_path / "out"))
+    headers = spark.read.json(str(tmp_path / "out" / "headers")).collect()
+    assert sorted((r.service or "", r["count"]) for r in headers) == [("", 1), ("iam", 1), ("s3", 50)] or len(headers) == 3
+    whole = writers.read_envelope(spark, str(tmp_path / "out"), "s3", model.RECOMMENDATION).collect()
+    assert [(r.position, r.entry.id) for r in whole] == [(n, f"{n:03}") for n in range(50)]
+    assert whole[7].entry.metadata.contributors == ["someone"] and whole[7].entry.references == ["https://example.org/versioning"]
+
+
+def test_context_blocks_follow_each_other(frame):
+    rows = frame([recommendation(id=f"{n:03}", scenario="x" * (n % 9)) for n in range(60)] + [recommendation(id="a", service_name="iam")], model.RECOMMENDATION)
+    found = project.service_contexts(rows, "Use:").collect()
+    for service in ("s3", "iam"):
+        text = "Use:"
+        for r in sorted((r for r in found if r.service_name == service), key=lambda r: r.position):
+            assert r.offset == len(text)
+            text += r.block
 
 
 def test_exports(spark, frame, tmp_path):

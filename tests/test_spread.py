@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from advisorium.operators import joins, ranking
-from advisorium.operators.spread import bounded_parts, first_n_per_group, keep_first, spread_lookup
+from advisorium.operators.spread import first_n_per_group, keep_first, placed, spread_lookup
 
 
 def hot_rows(spark, n=3000):
@@ -39,22 +39,27 @@ def test_groups_are_cut_before_they_meet(spark):
     assert large.count("Window [") == 3
 
 
-def test_lookup_deals_a_hot_key_over_tasks(spark):
-    rows = hot_rows(spark)
+def test_a_hot_key_gets_tasks_by_its_share(spark):
+    """A key with nine rows in ten is dealt over as many sections as its count asks for; other keys are not copied."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 10 != 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("source_id"),
+        F.col("id").alias("ord"))
     lookup = rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = spread_lookup(rows, lookup, ["source_id"], ["ord"])
-    assert joined.count() == 3000 and joined.filter("source_id = 'hot' AND n = 1000").count() == 1000
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        shuffled = spread_lookup(rows, lookup, ["source_id"], ["ord"])
-        assert "__section" in plan(shuffled) and "SortMergeJoin" in plan(shuffled)
-        sizes = shuffled.filter("source_id = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) > 1
+        joined = spread_lookup(rows, lookup, ["source_id"], ["ord"], rows_per_copy=100)
+        assert joined.count() == 3000 and joined.filter("source_id = 'hot' AND n = 2700").count() == 2700
+        located = joined.withColumn("task", F.spark_partition_id())
+        tasks = located.groupBy("source_id").agg(F.countDistinct("task").alias("n"))
+        assert all((r.n > 15) if r.source_id == "hot" else r.n == 1 for r in tasks.collect())
+        largest = located.groupBy("task").count().agg(F.max("count")).first()[0]
+        assert largest < 700
     finally:
         for name in settings:
             spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_lookup_keeps_rows_without_a_partner(spark):
@@ -64,13 +69,19 @@ def test_lookup_keeps_rows_without_a_partner(spark):
     assert spread_lookup(rows, lookup, ["k"], ["id"], how="inner").count() == 1
 
 
-def test_parts_cover_everything_and_stay_small(spark):
-    rows = hot_rows(spark).withColumn("source_id", F.when(F.col("ord") % 7 != 0, F.col("source_id")))
-    parted = bounded_parts(rows, "source_id", "ord", 100)
-    assert parted.count() == 3000 and parted.filter("part IS NULL").count() == 0
-    largest = parted.groupBy("source_id", "part").count().agg(F.max("count")).first()[0]
-    assert largest < 200
-    assert parted.filter("source_id = 'k1'").select("part").distinct().collect()[0].part == 0
+def test_places_and_offsets(spark):
+    rows = hot_rows(spark).withColumn("source_id", F.when(F.col("ord") % 7 != 0, F.col("source_id"))).withColumn("bytes", F.col("ord") % 13)
+    want = {}
+    for r in rows.orderBy("ord").collect():
+        position, offset = want.setdefault(r.source_id, [0, 0])
+        want[r.source_id, r.ord] = position, offset
+        want[r.source_id] = [position + 1, offset + r.bytes]
+    for n in ("4", "23"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found = placed(rows, "source_id", ["ord"], F.col("bytes")).collect()
+        assert len(found) == 3000 and all((r.position, r.offset) == want[r.source_id, r.ord] for r in found)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert placed(rows.limit(0), "source_id", ["ord"]).count() == 0
 
 
 def test_unseen_checks_each_pair_once(spark):
