@@ -21,7 +21,7 @@ def test_pipeline(spark):
     import corpus_pipeline
     from advisorium.llm import toxicity
     from advisorium.llm.exact_dedup import LOWER
-    from tests.llm.test_simhash import brute_fingerprint, roots
+    from tests.llm.test_near_copies import brute_kept
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
@@ -31,14 +31,34 @@ def test_pipeline(spark):
         if r.doc_id not in toxic:
             key = r.text.encode().translate(LOWER)
             best[key] = max(best.get(key, (-1, "")), (r.doc_id, r.text))
-    fps = {}
-    for number, text in best.values():
-        fp = brute_fingerprint(text)
-        fps[fp] = min(fps.get(fp, number), number)
-    root = roots([(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 2], fps)
-    groups = {}
-    for fp, number in fps.items():
-        groups[root[fp]] = min(groups.get(root[fp], number), number)
+    rows = sorted(best.values())
+    kept, near = brute_kept(rows)
+    assert near
     got = corpus_pipeline.run(spark, SMALL)
-    assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == set(groups.values())
+    assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == {rows[i][0] for i in kept}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "packing"]
+
+
+def test_a_pipeline_run_leaves_other_results_alone(spark):
+    """A query that was built before a run of the pipeline still finds its tables."""
+    import corpus_pipeline
+
+    packed = QUERIES["op2_packing"](spark, SMALL)
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40)
+    kept = corpus_pipeline.drop_near_copies(spark, documents, SMALL).count()
+    assert corpus_pipeline.drop_copies(spark, documents, SMALL).count() >= kept
+    assert packed.select("doc_id").distinct().count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None), (1, "", "x"), (1, None, None), (2, "one two three four five six", "y")] * 3])
+def test_pipeline_of_awkward_rows(spark, rows):
+    """No rows, nulls, repeated rows, extra columns with the names of results, through all stages."""
+    import corpus_pipeline
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept string, row string"
+    docs = spark.createDataFrame([(i, t, "en", s, 1, s, s, s) for i, t, s in rows], schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SMALL).collect(), schema)
+        assert docs.columns == [f.split()[0] for f in schema.split(", ")]
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert len(got) == (2 if rows else 0)
