@@ -305,3 +305,21 @@ def prompt_text(source_name, title, url, categories) -> Column:
     return F.concat(
         F.lit("Source: "), shown(source_name), F.lit("\nTitle: "), shown(title), F.lit("\nURL: "), shown(url),
         F.lit("\nCategories: "), shown(categories), F.lit("\n\nContent:\n"), F.left(shown("body"), F.lit(BODY_CHARS)))
+
+
+def rule_items(files: DataFrame, source_id: Column, source_name: Column, categories: Column) -> DataFrame:
+    """Items of rule files in the shape of ``feed_items``, so that both go through one run."""
+    extra = F.create_map(*[x for n in ("file_path", "file_type", "severity", "service")
+                           for x in (F.lit(n), F.col({"file_path": "path"}.get(n, n)))])
+    return rule_file_items(files).select(
+        source_id.alias("source_id"), source_name.alias("source_name"), "title", "body", "url", F.lit(None).cast("string").alias("published_at"),
+        text.content_hash("title", "body").alias("content_hash"), categories.alias("categories"),
+        F.map_filter(extra, lambda _, v: v.isNotNull()).alias("raw_metadata"))
+
+
+def page_items(sections: DataFrame, source_id: Column, source_name: Column, categories: Column) -> DataFrame:
+    """Items of page sections (url, title, body) in the shape of ``feed_items``."""
+    return sections.select(
+        source_id.alias("source_id"), source_name.alias("source_name"), "title", "body", "url", F.lit(None).cast("string").alias("published_at"),
+        text.content_hash("title", "body").alias("content_hash"), categories.alias("categories"),
+        F.create_map(F.lit("page_url"), F.col("url")).alias("raw_metadata"))

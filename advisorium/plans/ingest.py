@@ -12,7 +12,7 @@ from advisorium import model
 from advisorium.functions import text
 from advisorium.operators import enrich, quality, similarity
 from advisorium.operators.ranking import first_items
-from advisorium.operators.review import AUTO_PROMOTE_BELOW, promotion_outcomes
+from advisorium.operators.review import AUTO_PROMOTE_BELOW, promotion_outcomes, staged_rows
 from advisorium.operators.spread import spread_lookup
 from advisorium.sources.scratch import written
 
@@ -72,7 +72,7 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
         contributor: str = "ingest", max_items=None, threshold: float = similarity.DUPLICATE_THRESHOLD,
         dry_run: bool = False, convert: bool = True, auto_promote: bool = True,
         promote_below: float = AUTO_PROMOTE_BELOW) -> DataFrame:
-    """Outcome of every item.
+    """Outcome of every item, with the recommendation that a converted one has become.
 
     ``items``: source_id, ord (unique), title, body, content_hash. ``seen``: source_id,
     content_hash. ``existing``: position, scenario, text. ``responses``: ord, response,
@@ -91,7 +91,8 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
     if dry_run or not convert:
         results = scored.withColumns({
             "outcome": F.when(is_duplicate, "duplicate").otherwise("dry_run" if dry_run else "not_converted"),
-            "retried": F.lit(False), "recommendation_id": F.lit(None).cast("string")})
+            "retried": F.lit(False), "recommendation_id": F.lit(None).cast("string"),
+            "recommendation": F.lit(None).cast(model.RECOMMENDATION)})
     else:
         wanted = scored.filter(~is_duplicate).select("ord")
         converted = conversions(responses.join(wanted, "ord", "left_semi"), at, contributor)
@@ -101,18 +102,20 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
                                                               F.coalesce("stopped", F.lit("convert_failed"))),
             "id": F.when(~is_duplicate, F.col("recommendation.id")),
             "service_name": F.col("recommendation.service_name")})
-        # Two later steps read this narrow table; without it the responses are parsed twice.
-        known = written(known.drop("recommendation"), "converted")
+        # Later steps read this table; without it the responses are parsed again.
+        known = written(known, "converted")
         below = promote_below if auto_promote else -1.0
         decided = promotion_outcomes(
-            known.withColumn("__score", F.when(F.col("stopped").isNull(), F.col("score"))),
+            known.drop("recommendation").withColumn("__score", F.when(F.col("stopped").isNull(), F.col("score"))),
             catalog, below, score="__score", order="ord")
         results = decided.withColumns({
             "outcome": F.coalesce("stopped", "outcome"),
             "retried": F.coalesce("retried", F.lit(False)) & ~is_duplicate,
             "recommendation_id": F.when(F.col("stopped").isNull(), F.col("id"))})
+        made = known.filter("stopped IS NULL").select("ord", "recommendation")
+        results = results.join(made, "ord", "left")
 
-    results = results.select("ord", "score", "position", "retried", "recommendation_id", "outcome")
+    results = results.select("ord", "score", "position", "retried", "recommendation_id", "recommendation", "outcome")
     everything = keys.join(results, "ord", "left")
     if max_items:
         marks = admitted.select("ord", F.lit(True).alias("__admitted"))
@@ -121,11 +124,27 @@ def run(items: DataFrame, seen: DataFrame, existing: DataFrame, responses: DataF
     else:
         waiting = F.lit("seen")
     return everything.select(
-        "ord", "source_id", "content_hash", "score", "position", "recommendation_id",
+        "ord", "source_id", "content_hash", "score", "position", "recommendation_id", "recommendation",
         F.coalesce("retried", F.lit(False)).alias("retried"),
         F.coalesce("outcome", waiting).alias("outcome"))
 
 
+def staged_records(outcomes: DataFrame, items: DataFrame, existing: DataFrame, staged_by: str, at) -> DataFrame:
+    """The records of a run that wait for review: where they come from, the closest existing scenario, the recommendation.
+
+    ``outcomes`` from ``run``; ``items`` may have url; ``existing`` has position and scenario.
+    """
+    waiting = outcomes.filter("outcome = 'staged'").select("ord", "source_id", "score", "position", "recommendation")
+    url = F.col("url") if "url" in items.columns else F.lit(None).cast("string")
+    waiting = written(waiting.join(items.select("ord", url.alias("url")), "ord", "left"), "staged")
+    return staged_rows(similarity.with_closest(waiting, existing, "position", "scenario", "ord"), staged_by, at)
+
+
+def promoted_entries(outcomes: DataFrame) -> DataFrame:
+    """The entries of a run that join the catalogue at once."""
+    return outcomes.filter("outcome = 'promoted'").select("recommendation.*")
+
+
 def run_metrics(outcomes: DataFrame) -> DataFrame:
     """Counters of a run. A retried item counts by its final outcome only."""
     among = lambda name, *names: F.sum(F.when(F.col("outcome").isin(*names), 1).otherwise(0)).alias(name)

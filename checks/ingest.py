@@ -247,3 +247,12 @@ query("a10_run_metrics", _RUN.replace("{cap}", "true") + "SELECT count(*) AS ite
 query("a11_source_yield", _RUN.replace("{cap}", "true") + f"""SELECT source_id, count(*) AS parsed, {_among("seen", "seen")}, {_among("duplicate", "duplicate")},
  count(*) FILTER (WHERE outcome NOT IN ('seen', 'duplicate')) AS novel FROM outcomes GROUP BY 1""")(
     lambda spark, sf: ingest.source_yield(_outcomes(spark, sf)))
+
+
+@query("k5_staged_records", _RUN.replace("{cap}", "true") + """SELECT source_id, 'ingest' AS staged_by, '2024-01-31T00:00:00' AS staged_day, score AS dedup_score,
+ b.text AS closest_existing, recommendation_id AS id, 'Finding ' || CAST(ord AS VARCHAR) AS scenario, 'svc' AS service_name
+FROM outcomes o JOIN benchmark b ON b.item_id = o.position WHERE outcome = 'staged'""")
+def _staged_records(spark, sf):
+    rows = ingest.staged_records(_outcomes(spark, sf), raw_items(spark, sf), existing(spark, sf), "ingest", F.to_timestamp(F.lit(AS_OF)))
+    return rows.select("source_id", "staged_by", F.left("staged_at", F.lit(19)).alias("staged_day"), "dedup_score", "closest_existing",
+                       "recommendation.id", "recommendation.scenario", "recommendation.service_name")

@@ -1,11 +1,17 @@
 """Queries of operators that work on dates, paths, configurations and states, over the given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from advisorium.functions import text
-from advisorium.operators import enrich, filters, health, joins, project, quality
+from advisorium.operators import enrich, extract, filters, health, joins, project, quality
+from advisorium.plans.ingest import raw_items as raw_items_of
+from advisorium.sources import files
+from advisorium.sources.scratch import scratch_root
+from advisorium.streaming import ingest as streaming
 from checks.registry import query
-from checks.views import ENTRIES_SQL, entries, table, view, with_views
+from checks.views import ENTRIES_SQL, RAW_ITEMS_SQL, entries, table, view, with_views
 
 R = with_views("recs")
 
@@ -106,3 +112,110 @@ def _moved(spark, sf):
     moved = enrich.record_move(rows, "mover", F.to_timestamp(F.lit("2026-01-05 00:00:00")))
     return moved.select("id", F.col("metadata.created_at").alias("created_at"), F.array_join("metadata.contributors", ",").alias("people"),
                         F.coalesce(F.col("metadata.updated_at").startswith("2026-01-05"), F.lit(False)).alias("updated"))
+
+# Streams ----------------------------------------------------------------------------------------
+
+
+def _stream(spark, sf_dir, name):
+    """The rows of a table as a stream; the pattern matches its file or folder alone."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+@query("t2_stream_items", "WITH " + RAW_ITEMS_SQL + "SELECT min(ord) AS ord, source_id, content_hash FROM raw_items GROUP BY source_id, content_hash")
+def _stream_items(spark, sf):
+    root = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
+    items = raw_items_of(_stream(spark, sf, "documents"), "lang", "doc_id", "text").select("source_id", "content_hash", "ord")
+    kept = table(spark, sf, "documents").count()  # of a source no hash is pushed out here
+    streaming.start_ingest(items, root, f"{root}/check", keep=kept).awaitTermination()
+    return spark.read.schema(items.schema).parquet(f"{root}/items").select("ord", "source_id", "content_hash")
+
+
+@query("t3_stream_counters", with_views("fetch_log").rstrip() + """, e AS (SELECT source_id, max(ts) FILTER (WHERE NOT error) AS success,
+ max(ts) FILTER (WHERE error OR items > 0) AS non_empty FROM fetch_log GROUP BY 1)
+SELECT source_id, count(*) FILTER (WHERE error AND (success IS NULL OR ts > success)) AS consecutive_errors,
+ count(*) FILTER (WHERE NOT error AND items = 0 AND (non_empty IS NULL OR ts > non_empty)) AS consecutive_empty
+FROM fetch_log JOIN e USING (source_id) GROUP BY 1""")
+def _stream_counters(spark, sf):
+    check = f"{scratch_root(spark)}/counters-{uuid.uuid4().hex}"
+    kind = F.col("event_type")
+    log = _stream(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("source_id"), "ts", kind.isin("error", "click").alias("error"),
+        F.when(kind == "purchase", 1).otherwise(0).alias("items"))
+    streaming.start_counters(log, check).awaitTermination()
+    return streaming.read_counters(spark, check).select("source_id", "consecutive_errors", "consecutive_empty")
+
+
+# Shapes of sources ------------------------------------------------------------------------------
+
+def _named():
+    return F.lit("docs"), F.lit("Documents"), F.array(F.lit("security"))
+
+
+_HASH = "sha256(lower({0}) || '|' || lower({1}))"
+_RULE = "'Rule ' || CAST(doc_id AS VARCHAR)", "'Text ' || md5(text)"
+
+
+@query("x6_rule_items", f"""SELECT 'docs' AS source_id, {_RULE[0]} AS title, {_RULE[1]} AS body, {_HASH.format(*_RULE)} AS content_hash,
+ 'yaml' AS file_type, CASE WHEN doc_id % 3 = 0 THEN 'high' END AS severity FROM documents""")
+def _rule_items(spark, sf):
+    content = F.concat(F.lit("title: Rule "), F.col("doc_id").cast("string"), F.lit("\ndescription: Text "), F.md5("text"),
+                       F.when(F.col("doc_id") % 3 == 0, "\nseverity: high\n").otherwise("\n"))
+    rules = table(spark, sf, "documents").select(
+        F.concat(F.lit("rules/"), F.col("doc_id").cast("string"), F.lit(".yaml")).alias("path"), content.alias("content"), F.lit("https://x").alias("url"))
+    items = extract.rule_items(rules, *_named())
+    return items.select("source_id", "title", "body", "content_hash", F.col("raw_metadata")["file_type"].alias("file_type"),
+                        F.col("raw_metadata")["severity"].alias("severity"))
+
+
+_FEED = "'Entry ' || CAST(doc_id AS VARCHAR)", "'Text ' || md5(text) || ' & ' || md5(lang)"
+
+
+@query("x5_feed_items", f"""SELECT {_FEED[0]} AS title, {_FEED[1]} AS body, {_HASH.format(*_FEED)} AS content_hash, lang || ', ' || source AS tags
+FROM documents WHERE doc_id % 4 <> 0""")
+def _feed_items(spark, sf):
+    text_of = F.concat(F.lit("<p>Text <b>"), F.md5("text"), F.lit("</b>\n &amp; "), F.md5("lang"), F.lit("</p>"))
+    made = table(spark, sf, "documents").select(
+        F.concat(F.lit(" Entry "), F.col("doc_id").cast("string"), F.lit("\n")).alias("title"), F.lit("https://x").alias("link"),
+        F.when(F.col("doc_id") % 4 == 0, "too short").otherwise(text_of).alias("description"), F.lit("").alias("content"),
+        F.lit(None).cast("string").alias("pubDate"), F.lit(None).cast("string").alias("author"), F.array("lang", "source").alias("category"))
+    items = extract.feed_items(made, *_named())
+    return items.select("title", "body", "content_hash", F.col("raw_metadata")["tags"].alias("tags"))
+
+
+@query("q2_type_errors", """SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 5 = 1 THEN 'build_priority' ELSE 'scenario' END AS field
+FROM documents WHERE doc_id % 5 IN (1, 2)""")
+def _type_errors(spark, sf):
+    n = F.col("doc_id") % 5
+    value = F.concat(F.lit('{"id": "x", "build_priority": '), F.when(n == 1, '"high"').when(n == 3, "true").otherwise(F.col("doc_id").cast("string")),
+                     F.lit(', "scenario": '), F.when(n == 2, F.concat(F.lit("["), F.col("doc_id").cast("string"), F.lit("]")))
+                     .when(n == 4, "null").otherwise(F.concat(F.lit('"'), F.md5("text"), F.lit('"'))), F.lit("}"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), value.alias("json"))
+    return quality.type_errors(rows, "json").select("id", "field")
+
+
+@query("e8_csv_entries", """SELECT CASE WHEN doc_id % 5 = 0 THEN 'general' ELSE lang END AS service_name, 'Scenario ' || CAST(doc_id AS VARCHAR) AS scenario,
+ CASE WHEN doc_id % 3 = 0 THEN 'done' ELSE 'open' END AS status, CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id % 7 AS INT) END AS build_priority,
+ CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS links FROM documents""")
+def _csv_entries(spark, sf):
+    n, word = F.col("doc_id"), F.col("doc_id").cast("string")
+    rows = table(spark, sf, "documents").select(
+        F.when(n % 5 == 0, " ").otherwise(F.concat(F.lit(" "), "lang", F.lit("\n"))).alias("service_name"),
+        F.concat(F.lit("Scenario "), word, F.lit(" ")).alias("scenario"), F.when(n % 3 == 0, "done").otherwise("TK").alias("status"),
+        F.when(n % 4 == 0, (n % 7).cast("string")).otherwise("many").alias("build_priority"),
+        F.when(n % 2 == 0, "https://example.org/a").otherwise("none").alias("link_1"), F.lit("").alias("link_2"))
+    made = enrich.entries_from_csv(rows, F.to_timestamp(F.lit("2024-01-31 00:00:00")), "import", "file")
+    return made.select("service_name", "scenario", "status", "build_priority", F.size("references").alias("links"))
+
+
+@query("s7_read_pages", "SELECT page_id, url, md5(html) AS html_md5 FROM pages")
+def _read_pages(spark, sf):
+    return files.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.md5(F.col("html").cast("binary")).alias("html_md5"))
+
+
+@query("s3_read_service", R + "SELECT id, scenario, risk_detail FROM recs WHERE service_name = 'de'")
+def _read_service(spark, sf):
+    from advisorium.sources import writers
+
+    path = f"{scratch_root(spark)}/services-{uuid.uuid4().hex}"
+    writers.write_by_service(view(spark, sf, "recs"), path)
+    return files.read_service(spark, path, "de").select("id", "scenario", "risk_detail")

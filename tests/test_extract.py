@@ -130,3 +130,28 @@ def test_prompt_cuts_the_body(spark):
     row = spark.createDataFrame([("T", "b" * 5000)], "title string, body string").select(
         extract.prompt_text(F.lit("S"), "title", F.lit("u"), F.lit("a, b")).alias("p")).first()
     assert row.p == "Source: S\nTitle: T\nURL: u\nCategories: a, b\n\nContent:\n" + "b" * 4000
+
+
+def test_items_of_all_kinds_go_through_one_run(spark):
+    """Feed entries, rule files and page sections have one shape, which a run takes."""
+    from advisorium.plans import ingest
+
+    made = (F.lit("s"), F.lit("Source"), F.array(F.lit("security")))
+    files = spark.createDataFrame([("checks/a.yaml", "title: Rotate keys\ndescription: Keys are old\nseverity: high\n", "https://x/a"),
+                                   ("checks/b.py", 'name = "b"\nDescription = "Open port"', "https://x/b")], "path string, content string, url string")
+    rules = extract.rule_items(files, *made)
+    row = {r.title: r for r in rules.collect()}["Rotate keys"]
+    assert (row.source_id, row.body, row.categories, row.raw_metadata) == (
+        "s", "Keys are old", ["security"], {"file_path": "checks/a.yaml", "file_type": "yaml", "severity": "high"})
+    sections = spark.createDataFrame([("https://x/p", "Heading", "Some body of a section")], "url string, title string, body string")
+    pages = extract.page_items(sections, *made)
+    assert pages.first().raw_metadata == {"page_url": "https://x/p"}
+    schema = "title string, link string, description string, content string, pubDate string, author string, category array<string>"
+    entry = spark.createDataFrame([("News", "https://x/n", "<p>" + "long enough " * 6 + "</p>", None, None, None, ["a"])], schema)
+    feed = extract.feed_items(entry, *made)
+    assert feed.columns == rules.columns == pages.columns and feed.schema["raw_metadata"] is not None
+    items = feed.unionByName(rules).unionByName(pages).withColumn("ord", F.xxhash64("url"))
+    nothing = spark.createDataFrame([], "position long, scenario string, text string")
+    seen = spark.createDataFrame([], "source_id string, content_hash string")
+    done = ingest.run(items, seen, nothing, None, None, None, convert=False)
+    assert sorted(r.outcome for r in done.collect()) == ["not_converted"] * 4

@@ -108,6 +108,23 @@ def test_only_finished_items_are_remembered(inputs):
     assert every.count() == 11
 
 
+def test_records_of_a_run(inputs):
+    """Staged records carry the recommendation and the closest scenario; promoted entries are whole."""
+    items, _, existing, _, _ = inputs
+    done = outcomes(inputs).cache()
+    staged = ingest.staged_records(done, items.withColumn("url", F.concat(F.lit("https://x/"), "ord")), existing, "ingest", F.to_timestamp(F.lit(AT)))
+    rows = {r.source_url: r for r in staged.collect()}
+    assert set(rows) == {"https://x/10", "https://x/11", "https://x/12"}
+    row = rows["https://x/10"]
+    assert (row.source_id, row.staged_by, row.closest_existing) == ("a", "ingest", "Other") and row.recommendation.id == UUID.format(10)
+    assert row.dedup_score == round(row.dedup_score, 4) > 0 and row.staged_at.startswith("2024-02-01")
+    entries = ingest.promoted_entries(done).collect()
+    assert sorted(e.id for e in entries) == [UUID.format(n) for n in (1, 4, 9)] and all(e.scenario for e in entries)
+    dry = outcomes(inputs, dry_run=True)
+    assert dry.schema["recommendation"].dataType == done.schema["recommendation"].dataType
+    assert dry.filter("recommendation IS NOT NULL").count() == 0
+
+
 def test_items_from_whole_texts(spark):
     rows = spark.createDataFrame([("s", 1, "Title\nbody\nmore"), ("s", 2, "only a title"), ("s", 3, "")], "src string, n long, t string")
     items = ingest.raw_items(rows, "src", "n", "t").orderBy("ord").collect()
