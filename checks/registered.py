@@ -5,13 +5,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from advisorium.functions import text
-from advisorium.operators import enrich, extract, filters, health, joins, project, quality
+from advisorium.operators import enrich, extract, filters, health, joins, project, quality, trigrams
 from advisorium.plans.ingest import raw_items as raw_items_of
-from advisorium.sources import files
+from advisorium.sources import buckets, files
 from advisorium.sources.scratch import scratch_root
 from advisorium.streaming import ingest as streaming
 from checks.registry import query
-from checks.views import ENTRIES_SQL, RAW_ITEMS_SQL, entries, table, view, with_views
+from checks.views import ENTRIES_SQL, RAW_ITEMS_SQL, entries, raw_items, seen, table, view, with_views
 
 R = with_views("recs")
 
@@ -219,3 +219,27 @@ def _read_service(spark, sf):
     path = f"{scratch_root(spark)}/services-{uuid.uuid4().hex}"
     writers.write_by_service(view(spark, sf, "recs"), path)
     return files.read_service(spark, path, "de").select("id", "scenario", "risk_detail")
+
+
+# Histories and indexes --------------------------------------------------------------------------
+
+
+@query("j4_bucketed_history", "WITH " + RAW_ITEMS_SQL + """SELECT ord, i.source_id, i.content_hash FROM raw_items i
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.source_id = i.source_id AND s.content_hash = i.content_hash)""")
+def _bucketed_history(spark, sf):
+    keys, path = ["source_id", "content_hash"], f"{scratch_root(spark)}/history-{uuid.uuid4().hex}"
+    history = seen(spark, sf)
+    buckets.append(history, path, keys, 8)
+    return joins.unseen(raw_items(spark, sf), buckets.opened(spark, path, history.schema, keys, 8)).select("ord", *keys)
+
+
+_HOLDS = "contains(lower(scenario), '{0}') OR contains(lower(recommendation_description_detailed), '{0}') OR contains(lower(recommendation_action), '{0}')"
+
+
+@query("f6_indexed_search", R + "SELECT id, 'there' AS term FROM recs WHERE " + _HOLDS.format("there")
+       + " UNION ALL SELECT id, 'th' FROM recs WHERE " + _HOLDS.format("th"))
+def _indexed_search(spark, sf):
+    rows, path = view(spark, sf, "recs"), f"{scratch_root(spark)}/trigrams-{uuid.uuid4().hex}"
+    trigrams.write_index(rows, path)
+    found = lambda term: trigrams.search(rows, path, term).select("id", F.lit(term.lower()).alias("term"))
+    return found("THERE").unionByName(found("th"))
