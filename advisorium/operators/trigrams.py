@@ -15,10 +15,11 @@ SEARCHED = ("scenario", "recommendation_description_detailed", "recommendation_a
 
 def trigrams_of(text: Column) -> Column:
     """The different trigrams of a lower-case text."""
-    letters = F.split(F.coalesce(text, F.lit("")), "")
-    letters = F.filter(letters, lambda c: c != "")
-    three = F.transform(letters, lambda c, i: F.concat(c, F.get(letters, i + 1), F.get(letters, i + 2)))
-    return F.array_distinct(F.filter(three, lambda t: t.isNotNull()))
+    letters = F.filter(F.split(F.coalesce(text, F.lit("")), ""), lambda c: c != "")
+    n = F.greatest(F.size(letters) - 2, F.lit(0))
+    part = lambda start: F.slice(letters, F.lit(start), n)
+    pairs = F.zip_with(part(1), part(2), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.zip_with(pairs, part(3), lambda a, b: F.concat(a, b)))
 
 
 def write_index(entries: DataFrame, path: str, columns=SEARCHED, key: str = "id") -> None:
