@@ -68,7 +68,9 @@ HINTS = frozenset("ad ads advert adverts advertisement advertising banner sponso
 OTHERS = frozenset("ad ads advert advertisement sponsored promo comment comments reply related recommended".split())
 NAMES = frozenset("article articlebody post entry story content main body-text".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+# A quotation mark opens a value only after an equals sign, and only if it is closed later; else the value ends at white space or >.
+ATTRIBUTE = r"""(?:=?[^\s/>=]++|=)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{ATTRIBUTE})*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 MARKS = re.compile(r"(?i)\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD_PART = re.compile(r"[a-z]+")
 LONG, LINK_POOR = 15, 34  # words and link density (in hundredths) of a block that speaks for its wrapper

@@ -89,7 +89,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k=20, id_col="vec_id", vector_
 
     Components become floor(scale * x); the score is the inner product, ties go to the smaller id. Vectors that are
     null, empty of an id, or hold null or non-finite components take no part; a shorter vector counts as filled up
-    with zeros. Of repeated ids each row is a candidate, and each query row of one id gives the same result once.
+    with zeros. Of repeated ids each row is a candidate; a query whose id repeats is asked once, with its smallest vector
+    (component by component).
     Empty tables give no rows. No pair is left out: every block of queries meets every shard, one pair to a task row.
     """
     def clean(df):
@@ -99,7 +100,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k=20, id_col="vec_id", vector_
         return df.where(F.col(f"`{id_col}`").isNotNull() & F.coalesce(good, F.lit(False))).select(
             F.col(f"`{id_col}`").cast("long").alias("id"), whole.alias("vector"))
 
-    candidates, asked = clean(vectors), clean(queries).dropDuplicates(["id"])
+    candidates, asked = clean(vectors), clean(queries).groupBy("id").agg(F.min("vector").alias("vector"))
     sizes = candidates.agg(F.count(F.lit(1)).alias("n")).first()["n"], asked.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     shards, blocks = (max(1, -(-n // rows)) for n, rows in zip(sizes, (shard_rows, block_rows)))
     left = blocked(candidates, "shard", shards, ("ids", "vectors")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

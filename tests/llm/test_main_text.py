@@ -51,3 +51,38 @@ def test_frame(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((repr(r.page_id), r.n_chars) for r in got.collect()) == [("1", len(main_text(PAGE)))] * 2 + [("2", 0), ("None", 0)]
     assert extract(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p title=it's>Alpha beta.</p><p>Second para it's</p></article>", "Alpha beta.\n\nSecond para it's"),
+    ('<article><p class=x">Text one here.</p></article>', "Text one here."), ("<article><p a = 'x>y' b=\"c>d\" =e f/g>In</p></article>", "In"),
+    ('<article><p a="never closed>Text</p><p>More</p></article>', "Text\n\nMore"), ("<article><p \">One</p><p '>Two</p></article>", "One\n\nTwo"),
+])
+def test_stray_quotes_in_tags(page, text):
+    assert main_text(page) == text
+
+
+def test_tags_against_a_second_parser():
+    """Where tags end, on 1,000 generated pages with malformed attributes."""
+    import random
+    from html.parser import HTMLParser
+
+    from advisorium.llm.main_text import TAG
+
+    class Tags(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            self.found.append(tag)
+
+        def handle_endtag(self, tag):
+            self.found.append(f"/{tag}")
+
+    rng = random.Random(17)
+    pieces = ["a", "title=it's", 'class=x"', 'b="c>d"', "c='e>\"f'", "d = 'g h'", "e =i", "f= j", "/", "k/l", "m='n'o", "hidden", "p=q=r", 's=""', "t=\n'u'"]
+    for _ in range(1000):
+        page = "".join(f"<{rng.choice(['p', 'div', 'em'])} {' '.join(rng.sample(pieces, rng.randint(0, 5)))} >words 'in' \"it\" = x</{rng.choice(['p', 'div'])}>"
+                       for _ in range(rng.randint(1, 4)))
+        parser = Tags()
+        parser.found = []
+        parser.feed(page)
+        parser.close()
+        assert [m[1] + m[2].lower() for m in TAG.finditer(page)] == [t for t in parser.found], page

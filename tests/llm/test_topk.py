@@ -38,3 +38,12 @@ def test_few_and_no_rows(spark):
         (0, 1, 1, -6144), (0, 2, 1, -6144), (1, 1, 0, -6144)]
     assert top_k(frame.limit(0), frame).collect() == []
     assert top_k(frame, frame.limit(0)).collect() == []
+
+
+def test_repeated_query_ids_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(0, [1.0, -1.0]), (0, [-1.0, 1.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.5])]
+    results = []
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id bigint, embedding array<float>").coalesce(1)
+        results.append(sorted(map(tuple, top_k(frame, frame.where("vec_id = 0"), k=5).collect())))
+    assert results[0] == results[1] == [(0, 1, 2, 6144), (0, 2, 1, -4096)]
