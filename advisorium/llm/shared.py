@@ -69,7 +69,28 @@ def in_arrow(df: DataFrame, run, fields, *options) -> DataFrame:
 
     schema = T.StructType([T.StructField(name, T._parse_datatype_string(kind) if isinstance(kind, str) else kind)
                            for name, kind in fields])
-    return df.mapInArrow(lambda batches: run(batches, to_arrow_schema(schema), *options), schema)
+    def task(batches):
+        try:
+            yield from run(batches, to_arrow_schema(schema), *options)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back():
+    """Free memory of this worker goes back to the system: workers outlive their tasks, and an executor has several."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than glibc
 
 
 def batch_of(schema, columns, n):
