@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from advisorium import model
 from advisorium.functions import text
-from advisorium.operators.spread import keep_first, key_counts, spread_lookup
+from advisorium.operators.spread import keep_first, key_counts, spread_lookup, spread_product
 from advisorium.sources.scratch import written
 
 
@@ -13,16 +13,16 @@ def unnest(df: DataFrame, column: str, alias: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.explode(column).alias(alias))
 
 
-def match_rules(resources: DataFrame, rules: DataFrame, rule_text: str, metric: str, below: float) -> DataFrame:
+def match_rules(resources: DataFrame, rules: DataFrame, rule_text: str, metric: str, below: float, pairs_per_task: int = 1_000_000) -> DataFrame:
     """Resources under a metric limit with every rule of their service that mentions a text.
 
-    Both sides are filtered before they meet, and meet on the service. The resources of one
-    service are dealt over several tasks and the filtered rules repeated for each.
+    Both sides are filtered before they meet, and meet on the service, where every resource meets every rule. So the result
+    of a service is dealt over tasks by its pairs, about ``pairs_per_task`` to each (see ``spread_product``).
     """
     wanted = rules.filter(F.col("scenario").contains(rule_text)).select(
         F.col("service_name").alias("service"), F.col("id").alias("rule_id"), "scenario", "recommendation_action")
-    low = resources.filter(F.col(metric) < below)
-    return spread_lookup(low, wanted, ["service"], ["resource_id"], how="inner").select(
+    low = resources.filter(F.col(metric) < below).select("resource_id", "service", metric)
+    return spread_product(wanted, low, "service", ["rule_id", "scenario"], ["resource_id", metric], pairs_per_task).select(
         "resource_id", "rule_id", "service", metric, "scenario", "recommendation_action")
 
 

@@ -64,6 +64,31 @@ def spread_lookup(rows: DataFrame, lookup: DataFrame, keys, spread_by, how="left
     return dealt.join(repeated, [*keys, _SECTION], how).drop(_SECTION)
 
 
+def spread_product(wide: DataFrame, narrow: DataFrame, key: str, wide_by, narrow_by, pairs_per_task=1_000_000) -> DataFrame:
+    """Join on a key that has many rows on both sides: every row of ``wide`` with every row of ``narrow`` of its key.
+
+    The rows of each key are counted on both sides, so both are read twice. The narrow rows of a key are cut into sections of
+    at most about ``pairs_per_task`` rows, its wide rows into as many as leave about ``pairs_per_task`` pairs to a pair of
+    sections, by hashes of ``narrow_by`` and ``wide_by``; each pair of sections meets on its own. Keys with fewer pairs stay whole. A wide row
+    meets its narrow rows one after the other, so its values repeat in neighbouring rows of the result.
+    """
+    spark, limit = wide.sparkSession, F.lit(pairs_per_task)
+    counts = written(key_counts(wide, [key]).join(key_counts(narrow, [key]).withColumnRenamed("n", "m"), key), "pairs")
+    columns = F.ceil(F.col("m") / limit)
+    rows = F.least(F.col("n"), F.ceil(F.col("n") * F.ceil(F.col("m") / columns) / limit))
+    cut = counts.select(key, rows.cast("int").alias("__rows"), columns.cast("int").alias("__columns"))
+    cells = cut.agg(F.sum(F.col("__rows").cast("long") * F.col("__columns"))).first()[0] or 0
+    parts = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), cells), 20_000)
+    meet = [key, "__row", "__column"]
+    section = lambda by, n: F.pmod(F.xxhash64(*by), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = wide.join(cut, key).withColumn("__row", section(wide_by, "__rows")).withColumn("__column", every("__columns"))
+    right = narrow.join(cut, key).withColumn("__column", section(narrow_by, "__columns")).withColumn("__row", every("__rows"))
+    left, right = (side.drop("__rows", "__columns").repartition(parts, *meet) for side in (left, right))
+    # Few rows make many pairs, so the sizes of the sides say nothing about the number of tasks: it is given, and the sides merge.
+    return left.hint("merge").join(right, meet).drop("__row", "__column")
+
+
 def placed(df: DataFrame, key: str, order, size=None) -> DataFrame:
     """Add ``position``: the place of a row among those of its key in ``order``, from 0; with ``size`` (a column) also ``offset``:
     the sum of the sizes before it.

@@ -95,3 +95,20 @@ def test_insert_if_absent(spark):
     new = spark.createDataFrame([("a", "new", 1), ("b", "later", 3), ("b", "first", 2)], "id string, v string, ord int")
     assert sorted(map(tuple, joins.insert_if_absent(old, new).collect())) == [("a", "old"), ("b", "first")]
     assert keep_first(new, ["id"], ["ord"]).count() == 2
+
+
+def test_rules_and_resources_of_one_service_are_dealt_by_their_pairs(spark):
+    """Few rows on either side make many pairs; no task holds a large share of them."""
+    rules = spark.range(300).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") < 290, "hot").when(F.col("id") < 298, "cold").alias("service_name"),
+                                    F.concat(F.lit("do it "), "id").alias("scenario"), F.lit("act").alias("recommendation_action"))
+    resources = spark.range(400).select(F.col("id").alias("resource_id"), F.when(F.col("id") < 390, "hot").when(F.col("id") < 395, "cold").alias("service"),
+                                        (F.col("id") % 2).cast("double").alias("usage"))
+    resources = resources.unionAll(resources.where("resource_id = 0"))
+    for limit in (100, 4000):
+        found = joins.match_rules(resources, rules, "it", "usage", 1.0, pairs_per_task=limit)
+        rows = found.select("*", F.spark_partition_id().alias("task")).collect()
+        want = sorted([(r, str(i)) for r in [0, *range(0, 390, 2)] for i in range(290)] + [(r, str(i)) for r in (390, 392, 394) for i in range(290, 298)])
+        assert sorted((r.resource_id, r.rule_id) for r in rows) == want
+        tasks = [r.task for r in rows]
+        assert max(map(tasks.count, set(tasks))) < max(10 * limit, len(want) / 3)
+    assert joins.match_rules(resources, rules, "nowhere", "usage", 1.0).count() == 0
