@@ -30,6 +30,7 @@ MAX_FEATURES = 5_000
 # Scores are compared at this precision so that rounding noise cannot decide a tie.
 TIE_DECIMALS = 9
 MARGIN = 1e-8
+WORDS_AT_ONCE = 250_000  # words of texts that are weighed together; a longer text is weighed alone
 
 
 def words_of(text, stop_words=ENGLISH) -> Column:
@@ -170,7 +171,7 @@ def _weighted_texts(texts, index, carried, stop_words):
         from pyspark import TaskContext
 
         packed, row = shared.value, TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in _sliced(batches):
             n = batch.num_rows
             rows, codes, weights = _vectors(batch.column(batch.num_columns - 1), packed)
             most = weights * packed["top"][codes]
@@ -196,6 +197,7 @@ def _weighted_texts(texts, index, carried, stop_words):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), *batch.columns[:-1], *lists, pa.array(beyond)],
                                              ["__row", *carried, "prefix", "tail", "beyond"])
             row += n
+        _give_back()
 
     # Stop words are dropped by the workers, whose lookup passes over every word anyway.
     worded = texts.select(*carried, words_of("__text", ()).alias("words"))
@@ -205,6 +207,36 @@ def _weighted_texts(texts, index, carried, stop_words):
     return worded.mapInArrow(run, schema)
 
 
+def _sliced(batches):
+    """The rows of the batches in slices of bounded words (the last column), so that memory follows neither rows nor lengths."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        words = pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(words, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _give_back():
+    """Free memory of this worker goes back to the system: workers outlive their tasks, and an executor has several."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than glibc
+
+
 def _pack(vocabulary, stop_words=()):
     """The vocabulary as arrays by code. Terms are also split into words, so that texts are looked up word by word
     and a pair of words is a pair of numbers."""

@@ -203,3 +203,24 @@ def test_terms_skip_stop_words_before_pairs(spark):
     df = spark.createDataFrame([("The cache of a region; x é-ß Über_1",)], "t string")
     assert similarity.with_terms(df, "t").first().terms == ["cache", "region", "über_1", "cache region", "region über_1"]
     assert similarity.with_terms(df.select(F.lit("").alias("t")), "t").first().terms == []
+
+
+def test_memory_follows_neither_rows_nor_lengths(spark, monkeypatch):
+    """Texts are weighed in slices of bounded words; the slices change nothing."""
+    import pyarrow as pa
+
+    lists = [["a"] * n for n in (0, 3, 2, 0, 7, 1, 1, 1, 0)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(lists, pa.list_(pa.string()))], ["key", "words"])
+    monkeypatch.setattr(similarity, "WORDS_AT_ONCE", 5)
+    slices = list(similarity._sliced([batch, batch.slice(0, 0), batch.slice(2, 3)]))
+    assert [r for s in slices for r in s.column(0).to_pylist()] == [*range(10), 2, 3, 4]
+    sizes = [[len(words or ()) for words in s.column(1).to_pylist()] for s in slices]
+    assert sizes == [[0, 3, 2, 0], [7], [1, 1, 1, 0, 0], [2, 0], [7]]
+
+    rows = [(n % 40, " ".join(f"word{(n * k) % 23}" for k in range(n % 11))) for n in range(120)] + [(None, None), (1, "")]
+    new = spark.createDataFrame(rows, "ord int, text string").coalesce(2)
+    old = spark.createDataFrame([(n, f"word{n} word{n + 1} word{2 * n}") for n in range(15)], "position int, text string")
+    score = lambda: sorted(map(str, similarity.score(new, similarity.fit(old, "text", "position"), "ord", "text").collect()))
+    small = score()
+    monkeypatch.undo()
+    assert small == score() and len(small) == len(rows)
