@@ -31,3 +31,19 @@ def test_a_search_reads_its_own_postings(spark, entries, tmp_path):
     plan = trigrams.holding(spark, path, "abab")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(trigram" in plan
     assert trigrams._grams("abab") == ["aba", "bab"]
+
+
+def test_blocks_are_bounded_and_stay_where_they_are(spark, entries, tmp_path, monkeypatch):
+    """A row of the index holds the ids of a block, each once; blocks of few letters find the same."""
+    monkeypatch.setattr(trigrams, "LETTERS_AT_ONCE", 40)
+    path = str(tmp_path / "index")
+    trigrams.write_index(entries.unionAll(entries.where("id = 'x'")).coalesce(2), path)
+    index = spark.read.parquet(path)
+    assert index.columns == ["trigram", "ids"] and all(len(r.ids) <= 41 for r in index.collect())
+    files = index.select("trigram", "ids", "_metadata.file_path").collect()
+    for file in {r.file_path for r in files}:
+        names = [r.trigram for r in files if r.file_path == file]
+        assert names == sorted(names, key=str.encode) and len(names) > len(set(names))
+    for term in ("aba", "äß ", "größe", "漢", "b\na"):
+        want = sorted(r.id for r in filters.search_text(entries, term).collect())
+        assert sorted(r.id for r in trigrams.search(entries, path, term).collect()) == want, term
