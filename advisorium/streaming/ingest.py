@@ -17,6 +17,7 @@ from advisorium.operators.ranking import MAX_HASHES_PER_SOURCE
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROWS_AT_ONCE = 10_000  # items that are given on, or reduced to their first copies, together
 SHARES = 8  # keys that the rows of a source are dealt over
 
 
@@ -31,6 +32,13 @@ def unique_within(items: DataFrame, ts: str, delay: str) -> DataFrame:
     return items.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["source_id", "content_hash"])
 
 
+def _firsts(frames):
+    """The first item of every hash, in the order of the items."""
+    import pandas as pd
+
+    return pd.concat(frames, ignore_index=True).sort_values(["ord", "content_hash"], kind="stable").drop_duplicates("content_hash")
+
+
 class Seen(StatefulProcessor):
     """Lets the first item of every hash of a source pass, and remembers the newest ``keep`` hashes of the source."""
 
@@ -41,20 +49,25 @@ class Seen(StatefulProcessor):
         self.seen = handle.getValueState("seen", "hashes array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
         kept = self.seen.get()
         hashes = list(kept[0]) if kept is not None else []
-        known, new = set(hashes), {}
+        known, waiting, size, least = set(hashes), [], 0, ROWS_AT_ONCE
         for frame in rows:
-            for at, (found, order) in enumerate(zip(frame["content_hash"], frame["ord"])):
-                if found not in known and (found not in new or order < new[found][0]):
-                    new[found] = order, frame.iloc[[at]]
-        # in the order of the items, as one run after the other would mark them
-        passed = sorted(new.items(), key=lambda x: (x[1][0], x[0]))
-        if passed:
-            self.seen.update(((hashes + [found for found, _ in passed])[-self.keep:],))
-            yield pd.concat([row for _, (_, row) in passed])[self.columns]
+            frame = frame[[found not in known for found in frame["content_hash"]]]
+            if len(frame):
+                waiting.append(frame)
+                size += len(frame)
+            if size >= least:  # copies go before there are many
+                waiting = [_firsts(waiting)]
+                size = len(waiting[0])
+                least = 2 * size + ROWS_AT_ONCE
+        if waiting:
+            # in the order of the items, as one run after the other would mark them
+            passed = _firsts(waiting)
+            del known, waiting
+            self.seen.update(((hashes + passed["content_hash"].tolist())[-self.keep:],))
+            for at in range(0, len(passed), ROWS_AT_ONCE):
+                yield passed.iloc[at:at + ROWS_AT_ONCE][self.columns]
 
     def close(self) -> None:
         pass

@@ -144,3 +144,33 @@ def test_daily_extremes_of_a_stream(spark, tmp_path):
     query.awaitTermination()
     found = {r.window.start: (r.low, r.high, r.readings) for r in spark.table("extremes").collect()}
     assert found[START] == (0.0, 18.0, 4) and found[START + timedelta(days=1)] == (24.0, 42.0, 4)
+
+
+def test_new_items_of_a_source_are_given_on_in_bounded_frames():
+    """The items of a large batch are held as columns, not as a frame each, and passed on in parts."""
+    import pandas as pd
+
+    class Value:
+        kept = (["h7", "h8"],)
+        get = lambda self: self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    rng, n = random.Random(5), 3 * streaming.ROWS_AT_ONCE
+    rows = [("s", f"h{rng.randrange(2 * n)}", rng.randrange(n)) for _ in range(2 * n)] + [("s", None, 4), ("s", None, 3)]
+    frames = [pd.DataFrame(rows[at:at + 7_000], columns=["source_id", "content_hash", "ord"]) for at in range(0, len(rows), 7_000)]
+    seen = streaming.Seen(["ord", "source_id", "content_hash"], keep=10_000)
+    seen.seen = Value()
+    given = list(seen.handleInputRows(("s",), iter(frames), None))
+    assert len(given) > 2 and max(map(len, given)) <= streaming.ROWS_AT_ONCE and list(given[0].columns) == seen.columns
+    least = {}
+    for _, found, order in rows:
+        if found not in ("h7", "h8"):
+            least[found] = min(order, least.get(found, order))
+    want = sorted((order, found or "", found) for found, order in least.items())
+    got = [(r.ord, None if pd.isna(r.content_hash) else r.content_hash) for frame in given for r in frame.itertuples()]
+    assert sorted(got, key=str) == sorted([(order, found) for order, _, found in want], key=str)
+    assert [order for order, _ in got] == [order for order, _, _ in want]
+    assert len(seen.seen.kept[0]) == 10_000
+    assert list(seen.handleInputRows(("s",), iter([frames[0].iloc[:0]]), None)) == []
