@@ -8,7 +8,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from advisorium.operators.ranking import MAX_HASHES_PER_SOURCE
@@ -141,17 +141,11 @@ class Counters(StatefulProcessor):
             self.due = handle.getValueState("due", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
         kept, summary = self.summary.get(), None
         if kept is not None:
             success, non_empty, last, times, *counts = kept
             summary = success, non_empty, last, {t: list(c) for t, c in zip(times, zip(*counts))}
-        # a null among whole numbers makes them floats
-        plain = lambda kind, values: [None if pd.isna(v) else kind(v) for v in values]
-        for frame in rows:
-            columns = [plain(kind, frame[c]) for c, kind in (("time", int), ("error", bool), ("items", int), ("not_modified", bool))]
-            summary = summarised(summary, zip(*columns))
+        summary = summarised(summary, ((r.time, r.error, r["items"], r.not_modified) for r in rows))
         success, non_empty, last, runs = summary
         times = sorted(runs)
         self.summary.update((success, non_empty, last, times, *[[runs[t][i] for t in times] for i in range(3)]))
@@ -168,10 +162,7 @@ class Counters(StatefulProcessor):
         yield self._row(key, self.summary.get()[2], True)
 
     def _row(self, key, last, idle):
-        import pandas as pd
-
-        frame = pd.DataFrame({"source_id": [key[0]], "last": pd.array([last], "Int64"), "idle": [idle]})
-        return frame
+        return Row(source_id=key[0], last=last, idle=idle)
 
     def close(self) -> None:
         pass
@@ -189,7 +180,8 @@ def source_activity(log: DataFrame, idle_ms: int | None = None) -> DataFrame:
     time = F.unix_micros(F.col("ts").cast("timestamp"))
     rows = log.select("source_id", time.alias("time"), F.col("error").cast("boolean"), F.col("items").cast("long"),
                       F.col("not_modified").cast("boolean"), F.pmod(F.xxhash64("ts"), F.lit(SHARES)).cast("int").alias("share"))
-    return rows.groupBy("source_id", "share").transformWithStateInPandas(
+    # Plain rows: most keys have few of them in a batch, and a frame for each key costs more than they do.
+    return rows.groupBy("source_id", "share").transformWithState(
         statefulProcessor=Counters(idle_ms), outputStructType="source_id string, last long, idle boolean", outputMode="Update",
         timeMode="None" if idle_ms is None else "ProcessingTime")
 

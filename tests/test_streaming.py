@@ -174,3 +174,23 @@ def test_new_items_of_a_source_are_given_on_in_bounded_frames():
     assert [order for order, _ in got] == [order for order, _, _ in want]
     assert len(seen.seen.kept[0]) == 10_000
     assert list(seen.handleInputRows(("s",), iter([frames[0].iloc[:0]]), None)) == []
+
+
+def test_counters_take_plain_rows():
+    """A key costs no frame: rows come and go as they are, with nulls and repeated times."""
+    from pyspark.sql import Row
+
+    class Value:
+        kept = None
+        get = lambda self: self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    counters, fields = streaming.Counters(None), ("time", "error", "items", "not_modified")
+    counters.summary = Value()
+    rows = [(5, True, 0, False), (1, False, 2, False), (5, True, None, False), (None, None, None, None), (7, False, 0, True)]
+    for part in (rows[:2], rows[2:]):
+        given = list(counters.handleInputRows(("a", 3), iter([Row(**dict(zip(fields, r))) for r in part]), None))
+    assert given == [Row(source_id="a", last=7, idle=False)]
+    assert counters.summary.kept == (7, 5, 7, [7], [0], [0], [1])
