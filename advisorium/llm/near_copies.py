@@ -1,8 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash: 192 hashes of the shingle set in 32 bands of six. Texts that share a band are a
+Candidates come from two sides. By SimHash, texts whose fingerprints Golay keys link at two differing bits or fewer, as
+``simhash`` finds them, are candidates of each other. Most pairs of the similarity asked for are further apart (3 to 11
+bits), so MinHash adds those it finds: 192 hashes of the shingle set in 32 bands of six. Texts that share a band are a
 bucket; a pair of similarity s shares one with probability 1 - (1 - s^6)^32, which is 0.99994 at 0.8 and rises
-with s. Every candidate is verified on exact shingle sets, in two rounds, for only links that connect matter.
+with s. The texts of a component of fingerprints are a bucket as well. Every candidate is verified on exact shingle sets, in two rounds, for only links that connect matter.
 First, texts that buckets connect are a group, and each text of a group meets its first one: a shingle set is sent
 once, and large groups are dealt over tasks with a copy of the first set each. Then the buckets that still hold texts
 not connected so far are compared pair by pair, without the first texts, whose pairs are done: a bucket is cut into
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from advisorium.llm.components import components
 from advisorium.llm.exact_dedup import LOWER
 from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked, written
+from advisorium.llm.simhash import fingerprint
+from advisorium.llm.simhash import links as fingerprint_links
 
 WORDS, SIMILARITY, SEED = 5, 0.8, 42
 BANDS, ROWS = 32, 6
@@ -65,13 +69,15 @@ def band_keys(hashes, factors):
 
 
 def signatures(batches, schema, words):
+    import numpy as np
     from pyspark import TaskContext
 
     row, factors = TaskContext.get().partitionId() << 36, multipliers()
     for batch in batches:
         n, sets = batch.num_rows, (shingles(c.as_py(), words) for c in batch.column("content"))
         found = [(len(s), band_keys(s, factors)) for s in sets]
-        yield batch_of(schema, {"row": batch.column("row"), "id": batch.column("id"), "row_id": range(row, row + n),
+        fps = np.array([fingerprint(c.as_py()) for c in batch.column("content")], np.uint64).view(np.int64)
+        yield batch_of(schema, {"row": batch.column("row"), "id": batch.column("id"), "row_id": range(row, row + n), "fp": fps.tolist(),
                                 "size": [f[0] for f in found], "bands": [f[1] for f in found]}, n)
         row += n
 
@@ -176,7 +182,11 @@ def among(rows, ids, limit=FEW):
 def links(signed: DataFrame, text, words, similarity, section=SECTION) -> DataFrame:
     """Links (u, v) between row_ids that connect all verified pairs; ``text`` is the column with the content."""
     edge = [("u", "bigint"), ("v", "bigint")]
-    keys = signed.select("row_id", F.explode("bands").alias("key"))
+    bands = signed.select("row_id", F.explode("bands").alias("key"))
+    fps = written(signed.select("fp").distinct(), "fps")
+    close = written(components(fingerprint_links(fps)), "close")
+    own = signed.select("row_id", "fp").join(close, F.col("fp") == F.col("node"), "left")
+    keys = bands.unionAll(own.select("row_id", F.xxhash64(F.lit("fingerprint"), F.coalesce("root", "fp")).alias("key")))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first")).where("n > 1").drop("n")
     members = written(keys.join(shared, "key"), "members")
     groups = written(components(members.select(F.col("row_id").alias("u"), F.col("first").alias("v"))), "groups")
@@ -219,7 +229,7 @@ def kept(df: DataFrame, id_col="doc_id", text_col="text", words=WORDS, similarit
     """
     source = df.select(packed(df), F.col(f"`{id_col}`").alias("id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("content"))
-    fields = [("row", row_type(df, df.columns)), ("id", df.schema[id_col].dataType), ("row_id", "bigint"), ("size", "int"),
+    fields = [("row", row_type(df, df.columns)), ("id", df.schema[id_col].dataType), ("row_id", "bigint"), ("fp", "bigint"), ("size", "int"),
               ("bands", "array<bigint>")]
     signed = written(in_arrow(source, signatures, fields, words), "signatures")
     roots = written(components(links(signed, F.col(f"row.`{text_col}`"), words, similarity, section)), "roots")

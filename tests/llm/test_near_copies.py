@@ -61,3 +61,21 @@ def test_stage_drops_copies_that_simhash_leaves(spark):
     assert (a ^ b).bit_count() > 2 and brute_kept(rows)[0] == [0]
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), None)
     assert [r.doc_id for r in got.collect()] == [1]
+
+
+def test_fingerprints_within_two_bits_are_candidates(spark):
+    """Texts that share no band meet through their fingerprints; the exact sets decide."""
+    from pyspark.sql import functions as F
+
+    from advisorium.llm import simhash
+
+    generator = random.Random(4)
+    words = [f"w{generator.randrange(3000)}" for _ in range(600)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[::-1])]
+    fps = [simhash.fingerprint(t.encode()) for t in texts]
+    assert (fps[0] ^ fps[1]).bit_count() <= 2
+    signed = [(n, fp - (1 << 64) if fp >> 63 else fp, 596, [100 + n], t) for n, (fp, t) in enumerate(zip(fps, texts))]
+    signed.append((3, signed[0][1], 2, [103], "no copy"))  # the same fingerprint, another text
+    signed = spark.createDataFrame(signed, "row_id bigint, fp bigint, size int, bands array<bigint>, text string")
+    found = near_copies.links(signed, F.col("text"), near_copies.WORDS, near_copies.SIMILARITY).distinct().collect()
+    assert [tuple(r) for r in found] == [(1, 0)]
