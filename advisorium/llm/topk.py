@@ -15,64 +15,80 @@ from pyspark.sql import functions as F
 
 from advisorium.llm.shared import batch_of, in_arrow
 
+CELLS = 1 << 18  # (query, vector) cells that are bounded at once: 2 MB
+FIRST = 12  # lists of a query that give its first known vectors
+MANY = 16  # above one rival in so many cells, all cells are scored by one product
+
 
 def searched(ids, vectors, query_ids, queries, k):
-    """(query id, vector id, score): the k best of one shard for each query, ties to the smaller id."""
+    """(query ids, vector ids, scores): the k best of one shard for each query, ties to the smaller id."""
     import numpy as np
 
+    most = [max(int(x.max(initial=0)), -int(x.min(initial=0))) for x in (vectors, queries)]
+    # sums of products below 2^53 are exact in doubles, whatever their order
+    kind = np.float64 if most[0] * most[1] * vectors.shape[1] < 1 << 53 else np.int64
+    vectors, queries, lowest = vectors.astype(kind), queries.astype(kind), -np.inf if kind is np.float64 else np.iinfo(kind).min
     # about half of the vectors are in each list, so a list is held as a row of weights, 0 for those that are not
-    columns = np.ascontiguousarray(vectors.T)
-    lists = {}
-    for d, column in enumerate(columns):
-        for sign in (1, -1):
-            weights = np.maximum(sign * column, 0)
-            lists[d, sign] = weights, int(weights.max(initial=0))
-    out = []
-    for number, query in zip(query_ids, queries):
-        terms = [(abs(int(q)) * lists[d, 1 if q > 0 else -1][1], d, int(q)) for d, q in enumerate(query) if q]
-        terms = sorted((t for t in terms if t[0]), reverse=True)
-        rest = np.cumsum([0, *[t[0] for t in reversed(terms)]])[::-1].tolist()  # bound of the terms from i on
-        bound, own = np.zeros(len(ids), np.int64), ids == number
-        bound[own] = -(1 << 60)  # a query is no candidate of its own
-        others = len(ids) - int(own.sum())
-        least, at = None, 0  # score of the k-th best known vector
-        while at < len(terms) and (least is None or least <= 0 or rest[at] >= least):
-            _, d, q = terms[at]
-            bound += abs(q) * lists[d, 1 if q > 0 else -1][0]
-            at += 1
-            if at in (4, 12, 32) and others >= k:
-                seeds = np.argpartition(bound, -k)[-k:]
-                known = int((vectors[seeds] @ query).min())
-                least = known if least is None else max(least, known)
-        if least is None or least <= 0:
-            rivals = np.nonzero(~own)[0]
+    lists = np.concatenate([np.maximum(vectors.T, 0), np.maximum(-vectors.T, 0)])
+    largest, out = lists.max(axis=1, initial=0), []
+    at_once = max(1, CELLS // max(1, len(ids)))
+    for low in range(0, len(queries), at_once):
+        asked, numbers = queries[low:low + at_once], query_ids[low:low + at_once]
+        own = numbers[:, None] == ids  # a query is no candidate of its own
+        enough = len(ids) - own.sum(axis=1) >= k
+        met = np.concatenate([np.maximum(asked, 0), np.maximum(-asked, 0)], axis=1)
+        order = np.argsort(-met * largest, axis=1, kind="stable")
+        place = np.argsort(order, axis=1)  # of each list in the order of what it adds at most
+        sums = np.cumsum(np.take_along_axis(met * largest, order, 1)[:, ::-1], axis=1)[:, ::-1]
+        rest = np.concatenate([sums, np.zeros((len(asked), 1), kind)], axis=1)  # bound of the lists from i on
+        least = np.full(len(asked), lowest, kind)  # score of the k-th best known vector
+        for first in (FIRST, None):
+            # lists that together stay below the k-th best score are not essential
+            essential = np.where(least > 0, (rest >= least[:, None]).sum(axis=1), met.shape[1]) if first is None else np.full(len(asked), first)
+            bound = np.where(place < essential[:, None], met, 0) @ lists
+            bound[own] = -1
+            if enough.any():
+                seeds = np.argpartition(bound, -k, axis=1)[:, -k:]
+                known = np.einsum("qsd,qd->qs", vectors[seeds], asked).min(axis=1)
+                least = np.where(enough, np.maximum(least, known), least)
+        left = rest[np.arange(len(asked)), np.minimum(essential, met.shape[1])]
+        rivals = ((bound + left[:, None] >= least[:, None]) | (least <= 0)[:, None]) & ~own
+        if np.count_nonzero(rivals) * MANY > rivals.size:
+            scores = asked @ vectors.T
+            of, at = np.nonzero(rivals & (scores >= least[:, None]))
+            scores = scores[of, at]
         else:
-            rivals = np.nonzero((bound > 0) & (bound + rest[at] >= least))[0]
-            for i in range(at, len(terms)):
-                _, d, q = terms[i]
-                column = columns[d, rivals]
-                bound[rivals] += np.maximum(q * column, 0)
-                rivals = rivals[bound[rivals] + rest[i + 1] >= least]
-        scores = vectors[rivals] @ query
-        if len(rivals) > k:
-            top = np.partition(scores, -k)[-k]
-            rivals, scores = rivals[scores >= top], scores[scores >= top]
-        order = np.lexsort((ids[rivals], -scores))[:k]
-        out += [(number, other, score) for other, score in zip(ids[rivals[order]].tolist(), scores[order].tolist())]
-    return out
+            of, at = np.nonzero(rivals)
+            scores = np.einsum("rd,rd->r", asked[of], vectors[at])
+            good = scores >= least[of]
+            of, at, scores = of[good], at[good], scores[good]
+        best = np.lexsort((ids[at], -scores, of))
+        of, at, scores = of[best], at[best], scores[best]
+        top = np.arange(len(of)) - np.searchsorted(of, of) < k
+        out.append((numbers[of[top]], ids[at[top]], scores[top].astype(np.int64)))
+    return [np.concatenate(column) for column in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+
+
+def matrix(rows, width):
+    """Vectors, an Arrow list of lists, as the rows of a matrix; a shorter one is filled up with zeros."""
+    import numpy as np
+
+    ends = rows.offsets.to_numpy()
+    full = np.zeros((len(rows), width), np.int64)
+    full[np.arange(width) < np.diff(ends)[:, None]] = rows.values.to_numpy()[ends[0]:ends[-1]]
+    return full
 
 
 def pairs_searched(batches, schema, k):
     import numpy as np
 
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("ids", "vectors", "query_ids", "queries")]
-        for ids, vectors, query_ids, queries in zip(*columns):
-            width = max(map(len, vectors + queries))
-            full = lambda rows: np.array([r + [0] * (width - len(r)) for r in rows], np.int64).reshape(len(rows), width)
-            rows = searched(np.array(ids, np.int64), full(vectors), query_ids, full(queries), k)
-            if rows:
-                yield batch_of(schema, dict(zip(schema.names, zip(*rows))), len(rows))
+        for n in range(batch.num_rows):
+            ids, vectors, query_ids, queries = (batch.column(name)[n].values for name in ("ids", "vectors", "query_ids", "queries"))
+            width = max(int(np.diff(rows.offsets.to_numpy()).max()) for rows in (vectors, queries))
+            found = searched(ids.to_numpy(), matrix(vectors, width), query_ids.to_numpy(), matrix(queries, width), k)
+            if len(found[0]):
+                yield batch_of(schema, dict(zip(schema.names, found)), len(found[0]))
 
 
 def blocked(df, name, parts, alias):
