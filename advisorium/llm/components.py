@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from advisorium.llm.shared import batch_of, in_arrow, written
+from advisorium.llm.shared import batch_of, few_parts, in_arrow, written
 
 EDGE = [("u", "bigint"), ("v", "bigint")]
 
@@ -50,19 +50,21 @@ def state(edges):
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
 
 
-def components(edges: DataFrame, u="u", v="v", few=500_000) -> DataFrame:
+def components(edges: DataFrame, u="u", v="v", few=500_000, rows=None) -> DataFrame:
     """(node, root) of every node that has an edge to another; root is the smallest node of its component.
 
     The stars of all partitions are counted: up to ``few`` of them (some 10 MB) one task joins them, with the same
     result as the rounds. Each round writes its edges to the checkpoint folder; the rounds end when the edges stay
-    the same. Self links, repeated edges and null ends do no harm; no edges give no rows.
+    the same. Self links, repeated edges and null ends do no harm; no edges give no rows. ``rows``, where given, is
+    the size of the input that the edges come from: it bounds the number of files of a round.
     """
     given = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v")
+    given = given if rows is None else few_parts(given, rows)
     now = written(in_arrow(given, forest, EDGE), "edges")
     before, after = None, state(now)
     if after[0] <= few:
         now, before = written(in_arrow(now.coalesce(1), forest, EDGE), "edges"), after
     while before != after and after[0]:
-        now = written(small_star(large_star(now)).distinct(), "edges")
+        now = written(small_star(large_star(now)).distinct(), "edges", rows)
         before, after = after, state(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

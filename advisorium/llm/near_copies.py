@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from advisorium.llm.components import components
 from advisorium.llm.exact_dedup import LOWER
-from advisorium.llm.shared import batch_of, in_arrow, packed, row_type, unpacked, written
+from advisorium.llm.shared import batch_of, few_parts, in_arrow, packed, row_type, unpacked, written
 from advisorium.llm.simhash import fingerprint
 from advisorium.llm.simhash import links as fingerprint_links
 
@@ -173,39 +173,39 @@ def starred(batches, schema, similarity):
             yield batch_of(schema, dict(zip(("u", "v"), zip(*found))), len(found))
 
 
-def among(rows, ids, limit=FEW):
-    """The rows whose row_id is in ``ids``: a broadcast where they are few by count, else a shuffle."""
-    ids = written(ids.distinct(), "ids")
+def among(rows, ids, n, limit=FEW):
+    """The rows whose row_id is in ``ids``: a broadcast where they are few by count, else a shuffle; ``n`` bounds the files."""
+    ids = written(ids.distinct(), "ids", n)
     return rows.join(F.broadcast(ids) if ids.count() <= limit else ids, "row_id", "left_semi")
 
 
 def links(signed: DataFrame, text, words, similarity, section=SECTION) -> DataFrame:
     """Links (u, v) between row_ids that connect all verified pairs; ``text`` is the column with the content."""
-    edge = [("u", "bigint"), ("v", "bigint")]
+    edge, n = [("u", "bigint"), ("v", "bigint")], signed.count()
     bands = signed.select("row_id", F.explode("bands").alias("key"))
-    fps = written(signed.select("fp").distinct(), "fps")
-    close = written(components(fingerprint_links(fps)), "close")
+    fps = written(signed.select("fp").distinct(), "fps", n)
+    close = written(components(fingerprint_links(fps, rows=n), rows=n), "close", n)
     own = signed.select("row_id", "fp").join(close, F.col("fp") == F.col("node"), "left")
     keys = bands.unionAll(own.select("row_id", F.xxhash64(F.lit("fingerprint"), F.coalesce("root", "fp")).alias("key")))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first")).where("n > 1").drop("n")
-    members = written(keys.join(shared, "key"), "members")
-    groups = written(components(members.select(F.col("row_id").alias("u"), F.col("first").alias("v"))), "groups")
+    members = written(keys.join(shared, "key"), "members", n)
+    groups = written(components(members.select(F.col("row_id").alias("u"), F.col("first").alias("v")), rows=n), "groups", n)
     candidates = groups.select(F.col("node").alias("row_id")).unionAll(groups.select("root").distinct())
-    chosen = among(signed, candidates).select("row_id", F.coalesce(text, F.lit("")).cast("binary").alias("content"))
+    chosen = among(signed, candidates, n).select("row_id", F.coalesce(text, F.lit("")).cast("binary").alias("content"))
     sets = written(in_arrow(chosen, shingle_sets, [("row_id", "bigint"), ("shingles", "binary")], words), "sets")
 
     sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / section).cast("int").alias("sections"))
     texts = groups.join(sizes, "root").select(
         "root", F.pmod(F.xxhash64("node"), F.col("sections")).cast("int").alias("section"), F.col("node").alias("row_id"))
     firsts = sizes.select("root", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)).alias("section"), F.col("root").alias("row_id"))
-    met = written(texts.unionByName(firsts), "met").join(sets, "row_id")
+    met = written(texts.unionByName(firsts), "met", n).join(sets, "row_id")
     met = met.repartition("root", "section").sortWithinPartitions("root", "section", "row_id")  # the first has the smallest row_id
-    stars = written(in_arrow(met, starred, edge, similarity), "stars")
+    stars = written(in_arrow(met, starred, edge, similarity), "stars", n)
 
     # the rest: buckets with texts of several stars; pairs with the first text of a group are done
     others = members.join(groups.select(F.col("node").alias("row_id")), "row_id", "left_semi").select("key", "row_id")
     others = others.join(stars.select(F.col("u").alias("row_id"), "v"), "row_id", "left").withColumn("star", F.coalesce("v", "row_id"))
-    others = written(others.join(signed.select("row_id", "size"), "row_id").select("key", "row_id", "star", "size"), "others")
+    others = written(others.join(signed.select("row_id", "size"), "row_id").select("key", "row_id", "star", "size"), "others", n)
     sections = F.ceil(F.greatest(F.col("n") / section, F.col("size") / SECTION_SHINGLES, F.lit(1)))
     buckets = others.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.min("star").alias("low"), F.max("star").alias("high"),
@@ -232,10 +232,11 @@ def kept(df: DataFrame, id_col="doc_id", text_col="text", words=WORDS, similarit
     fields = [("row", row_type(df, df.columns)), ("id", df.schema[id_col].dataType), ("row_id", "bigint"), ("fp", "bigint"), ("size", "int"),
               ("bands", "array<bigint>")]
     signed = written(in_arrow(source, signatures, fields, words), "signatures")
-    roots = written(components(links(signed, F.col(f"row.`{text_col}`"), words, similarity, section)), "roots")
+    n = signed.count()
+    roots = written(components(links(signed, F.col(f"row.`{text_col}`"), words, similarity, section), rows=n), "roots", n)
     grouped = roots.select(F.col("node").alias("row_id"), "root").unionAll(roots.select("root", "root").distinct())
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row_id"))
     grouped = signed.select("row_id", "id").join(grouped, "row_id")
     tops = grouped.groupBy("root").agg(F.min(order).alias("top"))
     gone = grouped.join(tops, "root").where("row_id <> top.row_id").select("row_id")
-    return unpacked(signed.join(gone, "row_id", "left_anti"), df.columns, {})
+    return few_parts(unpacked(signed.join(gone, "row_id", "left_anti"), df.columns, {}), n)

@@ -11,10 +11,23 @@ from pyspark.sql import types as T
 from advisorium.sources.scratch import scratch_root
 
 FOLDER = ContextVar("folder", default=None)  # where the tables of a run go, when their caller has named a folder
+FILE_ROWS = 4000  # of the input of an operator, to a file of its tables
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the checkpoint folder, so that later uses do not compute it again."""
+def few_parts(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than an input of so many ``rows`` asks for; all tasks of the session keep work.
+
+    Every file costs its writer time, and on a local file system processes that set its mode.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` as a table in the checkpoint folder, so that later uses do not compute it again.
+
+    ``rows``, where given, is the size of the operator's input and bounds the number of files.
+    """
+    df = df if rows is None else few_parts(df, rows)
     path = f"{FOLDER.get() or scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

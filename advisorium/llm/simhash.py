@@ -74,13 +74,14 @@ def golay_keys(batches, schema):
             yield batch_of(schema, {"key": (i << 40 | parts[i][at] << 12 | index).tolist(), "fp": fps[at].tolist()}, len(at))
 
 
-def links(fps: DataFrame, dense=256) -> DataFrame:
+def links(fps: DataFrame, dense=256, rows=None) -> DataFrame:
     """All links (u, v) that connect the different fingerprints ``fp``, through candidates and a check of each.
 
     Of a dense key only the links to the smallest of each group are given; the components are the same.
+    ``rows``, where given, bounds the number of files.
     """
-    keys = written(in_arrow(fps, golay_keys, [("key", "bigint"), ("fp", "bigint")]), "keys")
-    crowded = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense).select("key"), "crowded")
+    keys = written(in_arrow(fps, golay_keys, [("key", "bigint"), ("fp", "bigint")]), "keys", rows)
+    crowded = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense).select("key"), "crowded", rows)
     sparse = keys.join(crowded, "key", "left_anti")
     a, b = sparse.select("key", F.col("fp").alias("u")), sparse.select("key", F.col("fp").alias("v"))
     near = a.join(b, "key").where((F.col("u") > F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2)).select("u", "v")

@@ -79,3 +79,28 @@ def test_fingerprints_within_two_bits_are_candidates(spark):
     signed = spark.createDataFrame(signed, "row_id bigint, fp bigint, size int, bands array<bigint>, text string")
     found = near_copies.links(signed, F.col("text"), near_copies.WORDS, near_copies.SIMILARITY).distinct().collect()
     assert [tuple(r) for r in found] == [(1, 0)]
+
+
+def test_tables_have_as_many_files_as_the_input_asks_for(spark, corpus, tmp_path):
+    """Not as many as there are shuffle partitions: each file costs a task and processes of its own."""
+    from pathlib import Path
+
+    from advisorium.llm.shared import FOLDER
+
+    want, _ = brute_kept(corpus)
+    frame = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(corpus)], "doc_id bigint, text string, row int").coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    token = FOLDER.set(str(tmp_path))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = near_copies.kept(frame)
+        assert sorted(r.row for r in got.collect()) == want
+        most = 2 * spark.sparkContext.defaultParallelism
+        files = {path.name: len(list(path.glob("part-*"))) for path in Path(tmp_path).iterdir()}
+    finally:
+        FOLDER.reset(token)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert most < 64 and len(files) > 10 and max(files.values()) <= most and got.rdd.getNumPartitions() <= most
